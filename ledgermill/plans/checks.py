@@ -21,7 +21,7 @@ AS_OF = dt.date(2001, 8, 1)
 CDC_AS_OF = dt.datetime(2024, 1, 30, 23, 0)
 WHOLE_PERIOD = 2500  # days that cover all given orders
 SHOWN_TYPES = ["5-low", "1-urgent", "3-medium"]
-DELETED_DAY = dt.date(1998, 10, 3)
+DELETED_DAY = dt.date(2024, 1, 10)
 SALT = "check-salt"
 
 REGISTRY: dict[str, Query] = {}
@@ -102,26 +102,30 @@ def land_cdc(spark, folder):
     return kept.unionByName(refused)
 
 
+CHECK_SCHEMA = "LEDGERMILL_CHECK"
+
+
+def _check_schema(spark):
+    where = scratch(spark, "warehouse")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {CHECK_SCHEMA} LOCATION '{where}'")
+
+
 @query
 def publish_models(spark, folder):
-    published = models.publish(
-        spark,
-        given.raw(spark, folder),
-        mart_schema=" ledgermill_check ",
-        location=scratch(spark, "warehouse"),
-    )
+    _check_schema(spark)
+    published = models.publish(spark, given.raw(spark, folder), mart_schema=" ledgermill_check ")
     counts = quality.raw_counts({name: spark.table(at) for name, at in published.items()})
     return counts.select(F.col("table_name").alias("model"), F.col("record_count").alias("records"))
 
 
 @query
 def delete_streaming_rows(spark, folder):
-    path = scratch(spark, "transaction-store")
-    name = "transactions_" + path.rsplit("-", 1)[-1]
-    stores.create_transaction_store(given.transactions(spark, folder), name, path)
-    gone = stores.delete_streaming_rows(spark, name, DELETED_DAY)
+    _check_schema(spark)
+    table = f"{CHECK_SCHEMA}.store_" + scratch(spark, "store").rsplit("-", 1)[-1]
+    stores.create_transaction_store(given.ingested(spark, folder), table)
+    gone = stores.delete_streaming_rows(spark, table, DELETED_DAY)
     return (
-        spark.table(name)
+        spark.table(table)
         .groupBy("data_source")
         .agg(
             F.count("*").alias("records_left"),
@@ -131,6 +135,12 @@ def delete_streaming_rows(spark, folder):
     )
 
 
+@query
+def without_streaming_day(spark, folder):
+    left = stores.without_streaming_day(given.ingested(spark, folder), DELETED_DAY)
+    return left.select("transaction_id", "data_source", "transaction_amount", "ingestion_timestamp")
+
+
 # staging and marts
 
 
@@ -422,11 +432,6 @@ def loan_link_check(spark, folder):
 # live queries: everything there is, in micro-batches, then read back
 
 
-def _landed_stream(spark, folder):
-    lines = given.envelope_lines(given.events_stream(spark, folder))
-    return lines.select(F.parse_json("value").alias(env.RECORD))
-
-
 def _payment_feed(spark, folder):
     """The transactions as feed files, some lines cut short; read one file at a time."""
     path = scratch(spark, "payment-feed")
@@ -474,21 +479,21 @@ def stream_counters(spark, folder):
 @query
 def stream_action_summary(spark, folder):
     out = scratch(spark, "stream-sums")
-    changes.keep_partial_sums(_landed_stream(spark, folder), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    changes.keep_partial_sums(given.cdc_stream(spark, folder), f"{out}/table", f"{out}/checkpoint").awaitTermination()
     return changes.action_summary(spark, f"{out}/table")
 
 
 @query
 def stream_type_summary(spark, folder):
     out = scratch(spark, "stream-sums")
-    changes.keep_partial_sums(_landed_stream(spark, folder), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    changes.keep_partial_sums(given.cdc_stream(spark, folder), f"{out}/table", f"{out}/checkpoint").awaitTermination()
     return changes.type_summary(spark, f"{out}/table")
 
 
 @query
 def stream_recent_activity(spark, folder):
     out = scratch(spark, "stream-recent")
-    live = changes.recent_activity(_landed_stream(spark, folder))
+    live = changes.recent_activity(given.cdc_stream(spark, folder))
     sinks.append(live, f"{out}/table", f"{out}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/table")
 
@@ -496,7 +501,7 @@ def stream_recent_activity(spark, folder):
 @query
 def stream_high_value(spark, folder):
     out = scratch(spark, "stream-high")
-    live = changes.high_value(_landed_stream(spark, folder))
+    live = changes.high_value(given.cdc_stream(spark, folder))
     sinks.append(live, f"{out}/table", f"{out}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/table")
 
@@ -504,6 +509,6 @@ def stream_high_value(spark, folder):
 @query
 def stream_current_state(spark, folder):
     out = scratch(spark, "stream-state")
-    changes.keep_versions(_landed_stream(spark, folder), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    changes.keep_versions(given.cdc_stream(spark, folder), f"{out}/table", f"{out}/checkpoint").awaitTermination()
     changes.compact(spark, f"{out}/table")
     return changes.current_state(spark, f"{out}/table")

@@ -187,6 +187,17 @@ ev AS (
          CASE WHEN cdc_action <> 'DELETE' THEN 'enc-' || user_id END AS encrypted
   FROM cdc)"""
 
+INGESTED = f"""{CDC}, {TX}, both_sources AS (
+  SELECT transaction_id, data_source, cents AS transaction_amount, committed AS ingestion_timestamp
+  FROM ev WHERE cdc_action = 'INSERT'
+  UNION ALL
+  SELECT transaction_id, data_source, transaction_amount,
+         CASE WHEN data_source = 'HISTORICAL' THEN TIMESTAMP '2024-01-10' END FROM tx),
+ingested AS (
+  SELECT *, data_source = 'STREAMING' AND ingestion_timestamp IS NOT NULL
+            AND ingestion_timestamp >= TIMESTAMP '2024-01-10' AND ingestion_timestamp < TIMESTAMP '2024-01-11' AS hit
+  FROM both_sources)"""
+
 _EVENT_COLUMNS = (
     f"transaction_id, cdc_action, customer_id, transaction_type, {as_double('whole')} AS transaction_amount, "
     f"{day('transaction_date')} AS transaction_date, db_user, {moment('committed')} AS committed_timestamp"
@@ -243,12 +254,14 @@ SQL: dict[str, str] = {
   UNION ALL SELECT 'transaction_summary', COUNT(DISTINCT (customer_id, transaction_month, transaction_type, data_source))
       FROM stx
   UNION ALL SELECT 'mortgage_base', COUNT(DISTINCT loan_record_id) FROM mort""",
-    "delete_streaming_rows": f"""WITH {TX}, gone AS (
-  SELECT COUNT(*) AS n FROM tx WHERE data_source = 'STREAMING' AND CAST(ingestion_timestamp AS DATE) = DATE '1998-10-03')
-  SELECT data_source, COUNT(*) AS records_left, {as_double('SUM(transaction_amount)')} AS amount_left,
-         (SELECT n FROM gone) AS records_deleted
-  FROM tx WHERE NOT (data_source = 'STREAMING' AND CAST(ingestion_timestamp AS DATE) = DATE '1998-10-03')
-  GROUP BY data_source""",
+    "delete_streaming_rows": f"""WITH {INGESTED}
+  SELECT data_source, COUNT(*) FILTER (NOT hit) AS records_left,
+         {as_double('SUM(transaction_amount) FILTER (NOT hit)')} AS amount_left,
+         (SELECT COUNT(*) FROM ingested WHERE hit) AS records_deleted
+  FROM ingested GROUP BY data_source""",
+    "without_streaming_day": f"""WITH {INGESTED} SELECT transaction_id, data_source,
+  {as_double('transaction_amount')} AS transaction_amount, {moment('ingestion_timestamp')} AS ingestion_timestamp
+  FROM ingested WHERE NOT hit""",
     "stg_customers": f"WITH {STG_CUST} SELECT * FROM scust",
     "stg_customers_steward": f"""WITH {CUST} SELECT customer_id, upper(trim(first_name)) AS first_name,
   upper(last_name) AS last_name, regexp_replace(phone_number, '[^0-9]', '', 'g') AS phone_clean, loan_record_id,

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ledgermill.functions import envelope as env, fixed
+from ledgermill.functions import fixed
+from ledgermill.operators import cdc
 from ledgermill.plans.models import Raw
+from ledgermill.sources import files
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -201,7 +203,12 @@ def events_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cdc_landed(spark: SparkSession, folder: str, steady: bool = False) -> DataFrame:
-    return envelope_lines(events(spark, folder), steady).select(F.parse_json("value").alias(env.RECORD))
+    return files.landed(envelope_lines(events(spark, folder), steady))
+
+
+def cdc_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The landing table as a live stream."""
+    return files.landed(envelope_lines(events_stream(spark, folder)))
 
 
 def feed_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -211,6 +218,16 @@ def feed_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select(F.when(event_id % 500 == 3, F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value"))
 
 
+def ingested(spark: SparkSession, folder: str) -> DataFrame:
+    """Insert events as streamed rows of many days; orders as rows of one load, or of none.
+
+    Orders from the stream have no ingest time, which a deletion by day must not touch.
+    """
+    loaded = F.when(F.col("data_source") == "HISTORICAL", F.lit("2024-01-10 00:00:00")).cast("timestamp")
+    orders = transactions(spark, folder).withColumns({"ingestion_timestamp": loaded, "created_at": loaded})
+    return cdc.cdc_as_transactions(cdc_landed(spark, folder)).unionByName(orders)
+
+
 def access_log(spark: SparkSession, folder: str) -> DataFrame:
     """Events as an access log with one object per query."""
     objects = F.array(F.struct(F.col("event_type").alias("object_name")))

@@ -40,21 +40,20 @@ def with_ingest_date(transactions: DataFrame) -> DataFrame:
     return transactions.withColumn("ingest_date", F.to_date("ingestion_timestamp"))
 
 
-def create_transaction_store(transactions: DataFrame, table: str, path: str | None = None) -> None:
+def create_transaction_store(transactions: DataFrame, table: str) -> None:
     """The transactions table, laid out by source and ingest day.
 
     ``rebalance`` gathers each day's rows into few files, and splits a day that holds a
-    large part of all rows over several tasks.
+    large part of all rows over several tasks. The table is a managed one, so that dropping
+    a partition also deletes its files.
     """
-    writer = (
+    (
         with_ingest_date(transactions)
         .hint("rebalance", *STORE_LAYOUT)
         .write.mode("overwrite")
         .partitionBy(*STORE_LAYOUT)
+        .saveAsTable(table)
     )
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
 
 
 def is_streamed_on(day: dt.date):
