@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 RECORD = "record_content"
@@ -10,48 +12,56 @@ RECORD = "record_content"
 WHOLE = "decimal(38,0)"
 CENTS = "decimal(10,2)"
 
+# name and type of the fields a before- or after-image may carry
+IMAGE_FIELDS = [
+    ("transaction_id_encrypted", "string"),
+    ("customer_id", "bigint"),
+    ("transaction_type", "string"),
+    ("transaction_date", "date"),
+    ("transaction_amount", CENTS),
+    ("data_source", "string"),
+]
 
-def part(path: str, kind: str) -> Column:
-    """One path with one type; a missing path is NULL, a value of another type is an error."""
-    return F.variant_get(RECORD, f"$.{path}", kind)
-
-
-def commit(name: str, kind: str = "string") -> Column:
-    return part(f"transaction.{name}", kind)
 
+class Envelope:
+    """Columns read from the record. A missing path is NULL.
 
-def after(name: str, kind: str = "string") -> Column:
-    return part(f"transaction.record_after.{name}", kind)
+    A value of another type than asked for is an error, as in a SQL cast; a lenient reader
+    gives NULL instead, so that one bad value cannot hold up a live query for good.
+    """
 
+    def __init__(self, lenient: bool = False):
+        self._get = F.try_variant_get if lenient else F.variant_get
 
-def before(name: str, kind: str = "string") -> Column:
-    return part(f"transaction.record_before.{name}", kind)
+    def part(self, path: str, kind: str = "string") -> Column:
+        return self._get(RECORD, f"$.{path}", kind)
 
+    def commit(self, name: str, kind: str = "string") -> Column:
+        return self.part(f"transaction.{name}", kind)
 
-def action() -> Column:
-    return commit("action")
+    def after(self, name: str, kind: str = "string") -> Column:
+        return self.commit(f"record_after.{name}", kind)
 
+    def before(self, name: str, kind: str = "string") -> Column:
+        return self.commit(f"record_before.{name}", kind)
 
-def commit_ms() -> Column:
-    return commit("committed_at", "bigint")
+    def action(self) -> Column:
+        return self.commit("action")
 
+    def event_id(self) -> Column:
+        return self.commit("transaction_id", "bigint")
 
-def commit_time() -> Column:
-    """Commit time with its milliseconds."""
-    return F.timestamp_millis(commit_ms())
+    def row_key(self) -> Column:
+        return self.commit("primaryKey_tokenized")
 
+    def commit_ms(self) -> Column:
+        return self.commit("committed_at", "bigint")
 
-# name and type of the fields a before- or after-image may carry
-IMAGE_FIELDS = [
-    ("transaction_id_encrypted", "string"),
-    ("customer_id", "bigint"),
-    ("transaction_type", "string"),
-    ("transaction_date", "date"),
-    ("transaction_amount", CENTS),
-    ("data_source", "string"),
-]
+    def commit_time(self) -> Column:
+        """Commit time with its milliseconds."""
+        return F.timestamp_millis(self.commit_ms())
 
 
-def image(reader) -> Column:
+def image(read: Callable[[str, str], Column]) -> Column:
     """A whole before- or after-image; an empty one gives a struct of NULLs."""
-    return F.struct(*[reader(name, kind).alias(name) for name, kind in IMAGE_FIELDS])
+    return F.struct(*[read(name, kind).alias(name) for name, kind in IMAGE_FIELDS])

@@ -7,6 +7,8 @@ Every function that takes ``landed`` expects the one-column landing table
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -14,31 +16,32 @@ from ledgermill.functions import envelope as env, fixed, money
 from ledgermill.operators.ordering import with_position
 
 
-def cdc_parsed(landed: DataFrame) -> DataFrame:
+def cdc_parsed(landed: DataFrame, lenient: bool = False) -> DataFrame:
     """The envelope as fifteen columns, raw record included."""
+    record = env.Envelope(lenient)
     return landed.select(
-        env.part("object", "string").alias("cdc_object_type"),
-        env.commit("transaction_id", "bigint").alias("transaction_id"),
-        env.action().alias("cdc_action"),
-        env.commit("schema").alias("source_schema"),
-        env.commit("table").alias("source_table"),
-        env.commit("dbuser").alias("db_user"),
-        env.commit_time().alias("committed_timestamp"),
-        env.after("customer_id", "bigint").alias("customer_id"),
-        env.after("transaction_type").alias("transaction_type"),
-        env.after("transaction_amount", env.WHOLE).alias("transaction_amount"),
-        env.after("transaction_date", "date").alias("transaction_date"),
-        env.after("data_source").alias("data_source"),
-        env.commit("primaryKey_tokenized").alias("primary_key_tokenized"),
-        env.after("transaction_id_encrypted").alias("transaction_id_encrypted"),
+        record.part("object").alias("cdc_object_type"),
+        record.event_id().alias("transaction_id"),
+        record.action().alias("cdc_action"),
+        record.commit("schema").alias("source_schema"),
+        record.commit("table").alias("source_table"),
+        record.commit("dbuser").alias("db_user"),
+        record.commit_time().alias("committed_timestamp"),
+        record.after("customer_id", "bigint").alias("customer_id"),
+        record.after("transaction_type").alias("transaction_type"),
+        record.after("transaction_amount", env.WHOLE).alias("transaction_amount"),
+        record.after("transaction_date", "date").alias("transaction_date"),
+        record.after("data_source").alias("data_source"),
+        record.row_key().alias("primary_key_tokenized"),
+        record.after("transaction_id_encrypted").alias("transaction_id_encrypted"),
         F.col(env.RECORD).alias("raw_json"),
     )
 
 
-def cdc_transactions(landed: DataFrame) -> DataFrame:
+def cdc_transactions(landed: DataFrame, lenient: bool = False) -> DataFrame:
     """The eight columns most queries need, of events that name an action."""
     return (
-        cdc_parsed(landed)
+        cdc_parsed(landed, lenient)
         .where(F.col("cdc_action").isNotNull())
         .select(
             "transaction_id",
@@ -55,14 +58,15 @@ def cdc_transactions(landed: DataFrame) -> DataFrame:
 
 def cdc_as_transactions(landed: DataFrame) -> DataFrame:
     """Insert events in the shape of the transactions table; amounts keep their cents."""
-    committed = env.commit_time()
-    return landed.where(env.action() == "INSERT").select(
-        env.commit("transaction_id", "bigint").alias("transaction_id"),
-        env.after("customer_id", "bigint").alias("customer_id"),
-        env.after("transaction_date", "date").alias("transaction_date"),
-        env.after("transaction_amount", env.CENTS).alias("transaction_amount"),
-        env.after("transaction_type").alias("transaction_type"),
-        env.after("data_source").alias("data_source"),
+    record = env.Envelope()
+    committed = record.commit_time()
+    return landed.where(record.action() == "INSERT").select(
+        record.event_id().alias("transaction_id"),
+        record.after("customer_id", "bigint").alias("customer_id"),
+        record.after("transaction_date", "date").alias("transaction_date"),
+        record.after("transaction_amount", env.CENTS).alias("transaction_amount"),
+        record.after("transaction_type").alias("transaction_type"),
+        record.after("data_source").alias("data_source"),
         committed.alias("ingestion_timestamp"),
         committed.alias("created_at"),
     )
@@ -175,14 +179,15 @@ def method_comparison(landed: DataFrame, transactions: DataFrame) -> DataFrame:
     )
 
 
-def versions(landed: DataFrame) -> DataFrame:
+def versions(landed: DataFrame, lenient: bool = False) -> DataFrame:
     """Row key, version and after-image of every event that names a key and an action."""
+    record = env.Envelope(lenient)
     return landed.select(
-        env.commit("primaryKey_tokenized").alias("row_key"),
-        env.commit_ms().alias("committed_ms"),
-        env.commit("transaction_id", "bigint").alias("event_id"),
-        env.action().alias("cdc_action"),
-        env.image(env.after).alias("image"),
+        record.row_key().alias("row_key"),
+        record.commit_ms().alias("committed_ms"),
+        record.event_id().alias("event_id"),
+        record.action().alias("cdc_action"),
+        env.image(record.after).alias("image"),
     ).where("row_key IS NOT NULL AND cdc_action IS NOT NULL")
 
 
@@ -222,13 +227,14 @@ def cdc_continuity(landed: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> D
     the last event of a block is handed to the next block as well. So each block holds what
     its events need, and a key with a third of all events is many blocks, not one task.
     """
+    record = env.Envelope()
     events = landed.select(
-        env.commit("primaryKey_tokenized").alias("row_key"),
-        env.commit_ms().alias("committed_ms"),
-        env.commit("transaction_id", "bigint").alias("event_id"),
-        env.action().alias("cdc_action"),
-        env.image(env.before).alias("found"),
-        env.image(env.after).alias("after"),
+        record.row_key().alias("row_key"),
+        record.commit_ms().alias("committed_ms"),
+        record.event_id().alias("event_id"),
+        record.action().alias("cdc_action"),
+        env.image(record.before).alias("found"),
+        env.image(record.after).alias("after"),
     ).where(F.col("row_key").isNotNull())
     order = [F.col(c).asc() for c in ("row_key", "committed_ms", "event_id", "cdc_action")]
     placed = with_position(events, order, "place").withColumn(
@@ -243,16 +249,13 @@ def cdc_continuity(landed: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> D
     expected = F.when(same_key, F.col("previous.after"))
     fields = [name for name, _ in env.IMAGE_FIELDS]
     differs = [~F.col(f"found.{f}").eqNullSafe(F.col(f"expected.{f}")) for f in fields]
-    any_differs = differs[0]
-    for one in differs[1:]:
-        any_differs = any_differs | one
     return (
         placed.withColumn("handed_on", F.lit(False))
         .unionByName(handed_on, allowMissingColumns=True)
         .withColumn("previous", previous)
         .where(~F.col("handed_on"))
         .withColumn("expected", expected)
-        .where(any_differs)
+        .where(reduce(or_, differs))
         .select(
             "row_key",
             "event_id",

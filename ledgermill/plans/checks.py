@@ -92,7 +92,7 @@ def land_cdc(spark, folder):
     kept = files.landed(lines).agg(
         F.lit("landed").alias("outcome"),
         F.count("*").alias("records"),
-        F.sum(env.commit("transaction_id", "bigint")).alias("id_sum"),
+        F.sum(env.Envelope().event_id()).alias("id_sum"),
     )
     refused = files.rejected(lines).agg(
         F.lit("rejected").alias("outcome"),
@@ -144,28 +144,36 @@ def without_streaming_day(spark, folder):
 # staging and marts
 
 
-def _staging(spark, folder, role=None):
-    return models.staging_models(given.raw(spark, folder), role)
+def _staging(spark, folder):
+    return models.staging_models(given.raw(spark, folder))
+
+
+def _stg_customers(spark, folder, role=None):
+    return staging.stg_customers(governance.mask_customers(given.customers(spark, folder), role))
+
+
+def _stg_transactions(spark, folder):
+    return staging.stg_transactions(given.transactions(spark, folder))
 
 
 @query
 def stg_customers(spark, folder):
-    return _staging(spark, folder)["stg_customers"].drop("created_at")
+    return _stg_customers(spark, folder).drop("created_at")
 
 
 @query
 def stg_customers_steward(spark, folder):
-    return _staging(spark, folder, "data_steward")["stg_customers"].drop("created_at")
+    return _stg_customers(spark, folder, "data_steward").drop("created_at")
 
 
 @query
 def stg_transactions(spark, folder):
-    return _staging(spark, folder)["stg_transactions"]
+    return _stg_transactions(spark, folder)
 
 
 @query
 def stg_mortgages(spark, folder):
-    return _staging(spark, folder)["stg_mortgages"].drop("created_at")
+    return staging.stg_mortgages(given.mortgages(spark, folder)).drop("created_at")
 
 
 @query
@@ -191,14 +199,14 @@ def customer_segments(spark, folder):
 
 @query
 def transaction_summary(spark, folder):
-    return marts.transaction_summary(_staging(spark, folder)["stg_transactions"])
+    return marts.transaction_summary(_stg_transactions(spark, folder))
 
 
 # dashboard
 
 
 def _shown(spark, folder, days_back=WHOLE_PERIOD):
-    staged = _staging(spark, folder)["stg_transactions"]
+    staged = _stg_transactions(spark, folder)
     return dashboard.dashboard_transactions(staged, AS_OF, days_back, SHOWN_TYPES)
 
 
@@ -362,7 +370,7 @@ def dq_unique(spark, folder):
 
 @query
 def dq_unique_values(spark, folder):
-    return quality.repeated_values(_staging(spark, folder)["stg_transactions"], "customer_id")
+    return quality.repeated_values(_stg_transactions(spark, folder), "customer_id")
 
 
 @query
@@ -459,7 +467,7 @@ def stream_cdc_land(spark, folder):
     kept = spark.read.parquet(f"{out}/landed").agg(
         F.lit("landed").alias("outcome"),
         F.count("*").alias("records"),
-        F.sum(env.commit("transaction_id", "bigint")).alias("id_sum"),
+        F.sum(env.Envelope().event_id()).alias("id_sum"),
     )
     refused = spark.read.parquet(f"{out}/rejects").agg(
         F.lit("rejected").alias("outcome"),
@@ -510,5 +518,5 @@ def stream_high_value(spark, folder):
 def stream_current_state(spark, folder):
     out = scratch(spark, "stream-state")
     changes.keep_versions(given.cdc_stream(spark, folder), f"{out}/table", f"{out}/checkpoint").awaitTermination()
-    changes.compact(spark, f"{out}/table")
+    changes.compact_versions(spark, f"{out}/table")
     return changes.current_state(spark, f"{out}/table")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from ledgermill.operators import cdc, governance, marts, mortgages, staging
 
@@ -71,15 +71,16 @@ def publish(
     role: str | None = None,
     default_schema: str = "TRANSFORMED",
     mart_schema: str | None = "analytics",
-    location: str | None = None,
+    buckets: int | None = None,
 ) -> dict[str, str]:
     """Register staging as views and write the marts as tables; returns name to relation.
 
-    The segments are built from the written customer 360, so the large join runs once.
+    The segments are built from the written customer 360, so the large join runs once. With
+    ``buckets`` the customer 360 is bucketed by customer, and later joins and groupings by
+    customer need not shuffle it. The transaction summary is laid out by month.
     """
     schema = schema_for(mart_schema, default_schema)
-    where = f" LOCATION '{location}/{schema}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}{where}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
 
     published = {}
     stg = staging_models(raw, role)
@@ -87,12 +88,18 @@ def publish(
         rows.createOrReplaceTempView(name)
         published[name] = name
 
-    def write(name: str, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").saveAsTable(f"{schema}.{name}")
+    def write(name: str, writer: DataFrameWriter) -> None:
+        writer.mode("overwrite").saveAsTable(f"{schema}.{name}")
         published[name] = f"{schema}.{name}"
 
-    write("customer_360", customer_360(stg))
-    write("customer_segments", marts.customer_segments(spark.table(published["customer_360"])))
-    write("transaction_summary", marts.transaction_summary(stg["stg_transactions"]))
-    write("mortgage_base", mortgages.mortgage_base(raw.mortgages))
+    profile = customer_360(stg)
+    if buckets:
+        by_customer = profile.repartition(buckets, "customer_id").write.bucketBy(buckets, "customer_id")
+        write("customer_360", by_customer.sortBy("customer_id"))
+    else:
+        write("customer_360", profile.write)
+    write("customer_segments", marts.customer_segments(spark.table(published["customer_360"])).write)
+    summary = marts.transaction_summary(stg["stg_transactions"]).hint("rebalance", "transaction_month")
+    write("transaction_summary", summary.write.partitionBy("transaction_month"))
+    write("mortgage_base", mortgages.mortgage_base(raw.mortgages).write)
     return published

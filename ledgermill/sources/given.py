@@ -13,8 +13,18 @@ from ledgermill.plans.models import Raw
 from ledgermill.sources import files
 
 
+# declared, so that no query starts by opening files to learn their columns
+COLUMNS = {
+    "customer": "c_custkey bigint, c_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _scaled(column: str, factor: str, kind: str = "decimal(10,2)") -> Column:
@@ -196,7 +206,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 def events_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The events file as a stream."""
     return (
-        spark.readStream.schema(events(spark, folder).schema)
+        spark.readStream.schema(COLUMNS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(folder)
     )

@@ -25,7 +25,7 @@ def land(
 
 
 def high_value(landed: DataFrame) -> DataFrame:
-    return cdc.flag_high_value(cdc.cdc_transactions(landed))
+    return cdc.flag_high_value(cdc.cdc_transactions(landed, lenient=True))
 
 
 def recent_activity(
@@ -37,7 +37,7 @@ def recent_activity(
     """
     amount = F.col("transaction_amount")
     return (
-        cdc.cdc_transactions(landed)
+        cdc.cdc_transactions(landed, lenient=True)
         .withWatermark("committed_timestamp", lateness)
         .groupBy(F.window("committed_timestamp", length, step), "cdc_action")
         .agg(
@@ -54,12 +54,15 @@ def recent_activity(
     )
 
 
+PARTIAL_KEY = ["cdc_action", "transaction_type", "customer_id"]
+
+
 def partial_sums(landed: DataFrame) -> DataFrame:
     """What the summaries need of one micro-batch: a row per action, type and customer."""
     amount = F.col("transaction_amount")
     return (
-        cdc.cdc_transactions(landed)
-        .groupBy("cdc_action", "transaction_type", "customer_id")
+        cdc.cdc_transactions(landed, lenient=True)
+        .groupBy(*PARTIAL_KEY)
         .agg(
             F.count("*").alias("events"),
             F.count(amount).alias("amounts"),
@@ -70,6 +73,17 @@ def partial_sums(landed: DataFrame) -> DataFrame:
     )
 
 
+def merge_sums(sums: DataFrame) -> DataFrame:
+    """Partial sums of several micro-batches as those of one."""
+    return sums.groupBy(*PARTIAL_KEY).agg(
+        F.sum("events").alias("events"),
+        F.sum("amounts").alias("amounts"),
+        F.sum("total").alias("total"),
+        F.min("lowest").alias("lowest"),
+        F.max("highest").alias("highest"),
+    )
+
+
 def keep_partial_sums(
     landed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -81,10 +95,14 @@ def keep_partial_sums(
     return sinks.each_batch(landed, partial_sums, path, checkpoint, trigger)
 
 
+def compact_sums(spark: SparkSession, path: str) -> int:
+    return sinks.compact(spark, path, merge_sums)
+
+
 def action_summary(spark: SparkSession, path: str) -> DataFrame:
     """Volume per action over all micro-batches so far."""
     return (
-        spark.read.parquet(path)
+        sinks.in_force(spark.read.parquet(path))
         .groupBy("cdc_action")
         .agg(
             F.sum("events").alias("transaction_count"),
@@ -98,7 +116,7 @@ def action_summary(spark: SparkSession, path: str) -> DataFrame:
 def type_summary(spark: SparkSession, path: str) -> DataFrame:
     """Insert events per type over all micro-batches so far."""
     return (
-        spark.read.parquet(path)
+        sinks.in_force(spark.read.parquet(path))
         .where(F.col("cdc_action") == "INSERT")
         .groupBy("transaction_type", "cdc_action")
         .agg(
@@ -118,35 +136,16 @@ def keep_versions(
     Nothing already written is touched, so a batch costs what it brings; keeping the deletes
     stops an event that arrives late from reviving a deleted row.
     """
-    return sinks.each_batch(landed, lambda batch: cdc.fold(cdc.versions(batch)), path, checkpoint, trigger)
-
 
-def _versions_in_force(log: DataFrame) -> DataFrame:
-    """The last snapshot and the changes after it; other partitions are not read."""
-    snapshot = log.where(F.col("level") == "snapshot").agg(F.max("batch").alias("last")).scalar()
-    snapshot = F.coalesce(snapshot, F.lit(-1))
-    return log.where(
-        ((F.col("level") == "snapshot") & (F.col("batch") == snapshot))
-        | ((F.col("level") == "changes") & (F.col("batch") > snapshot))
-    ).drop("level", "batch")
+    def last_versions(batch: DataFrame) -> DataFrame:
+        return cdc.fold(cdc.versions(batch, lenient=True))
 
+    return sinks.each_batch(landed, last_versions, path, checkpoint, trigger)
 
-def current_state(spark: SparkSession, path: str) -> DataFrame:
-    return cdc.live_rows(cdc.fold(_versions_in_force(spark.read.parquet(path))))
 
+def compact_versions(spark: SparkSession, path: str) -> int:
+    return sinks.compact(spark, path, cdc.fold)
 
-def compact(spark: SparkSession, path: str) -> int:
-    """Fold all changes so far into one snapshot, which later reads start from.
 
-    Returns the number of the last micro-batch it covers. May run beside the stream: the
-    files are listed once, so batches that come later are read on top of the snapshot.
-    """
-    log = spark.read.parquet(path)
-    newest = {row["level"]: row["last"] for row in log.groupBy("level").agg(F.max("batch").alias("last")).collect()}
-    last = newest["changes"]
-    if newest.get("snapshot") == last:
-        return last
-    folded = cdc.fold(_versions_in_force(log))
-    tagged = folded.withColumns({"level": F.lit("snapshot"), "batch": F.lit(last).cast("bigint")})
-    sinks.write_batch(tagged, path, "level", "batch")
-    return last
+def current_state(spark: SparkSession, path: str) -> DataFrame:
+    return cdc.live_rows(cdc.fold(sinks.in_force(spark.read.parquet(path))))

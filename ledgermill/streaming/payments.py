@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,10 +32,7 @@ def read_lines(lines: DataFrame) -> DataFrame:
     parsed = lines.select(F.from_json("value", as_text(shape)).alias("row"))
     typed = parsed.select(*[F.col(f"row.{f.name}").try_cast(f.dataType).alias(f.name) for f in shape.fields])
     needed = [F.col(f.name).isNotNull() for f in shape.fields if f.name != "is_anomaly"]
-    complete = needed[0]
-    for one in needed[1:]:
-        complete = complete & one
-    return typed.withColumn("sent", complete)
+    return typed.withColumn("sent", reduce(and_, needed))
 
 
 def stored_rows(lines: DataFrame) -> DataFrame:

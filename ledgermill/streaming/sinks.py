@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 # read what is there, then stop; pass {"processingTime": "10 seconds"} to keep running
@@ -68,5 +68,30 @@ def each_batch(
     )
 
 
+def in_force(log: DataFrame) -> DataFrame:
+    """The last snapshot and the changes after it; other partitions are not read."""
+    snapshot = log.where(F.col("level") == "snapshot").agg(F.max("batch").alias("last")).scalar()
+    snapshot = F.coalesce(snapshot, F.lit(-1))
+    return log.where(
+        ((F.col("level") == "snapshot") & (F.col("batch") == snapshot))
+        | ((F.col("level") == "changes") & (F.col("batch") > snapshot))
+    ).drop("level", "batch")
+
+
+def compact(spark: SparkSession, path: str, condense: Callable[[DataFrame], DataFrame]) -> int:
+    """Condense everything so far into one snapshot, which later reads start from.
+
+    Returns the number of the last micro-batch it covers. May run beside the stream: the
+    files are listed once, so batches that come later are read on top of the snapshot.
+    """
+    log = spark.read.parquet(path)
+    newest = log.groupBy("level").agg(F.max("batch").alias("last")).collect()
+    last = {row["level"]: row["last"] for row in newest}
+    if last.get("snapshot") != last["changes"]:
+        tags = {"level": F.lit("snapshot"), "batch": F.lit(last["changes"]).cast("bigint")}
+        write_batch(condense(in_force(log)).withColumns(tags), path, "level", "batch")
+    return last["changes"]
+
+
 def rows_read(query: StreamingQuery) -> int:
     return sum(progress.numInputRows for progress in query.recentProgress)

@@ -151,3 +151,15 @@ def test_published_models(spark):
     assert spark.sql("SELECT count(*) AS n FROM stg_customers").first().n == 2
     assert spark.table("analytics.mortgage_base").count() == 1
     assert models.schema_for(None, "TRANSFORMED") == "TRANSFORMED"
+
+
+def test_bucketed_profile_joins_without_shuffling_it(spark):
+    import contextlib
+    import io
+
+    raw = models.Raw(t.customers(spark, (1, None, "a", "b", "1")), t.mortgages(spark), t.transactions(spark))
+    published = models.publish(spark, raw, mart_schema="bucketed", buckets=4)
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        spark.table(published["customer_360"]).groupBy("customer_id").count().explain()
+    assert "Exchange" not in text.getvalue()

@@ -2,6 +2,7 @@ import json
 from decimal import Decimal
 
 import frames as t
+import pytest
 from ledgermill.operators import cdc
 from ledgermill.sources import files
 from ledgermill.streaming import changes, payments, sinks
@@ -76,6 +77,8 @@ def test_summaries_equal_batch_over_many_batches(spark, tmp_path):
         _feed(tmp_path / "in", f"{part}.json", *lines[part::4])
         if part % 2:
             changes.keep_partial_sums(_stream(spark, tmp_path), table, checkpoint).awaitTermination()
+            if part == 1:
+                changes.compact_sums(spark, table)
     landed = t.landed(spark, *lines)
     assert t.rows(changes.action_summary(spark, table)) == t.rows(cdc.cdc_action_summary(landed))
     assert t.rows(changes.type_summary(spark, table)) == t.rows(cdc.cdc_transaction_types(landed))
@@ -106,11 +109,11 @@ def test_state_with_late_events_and_snapshots(spark, tmp_path):
         _feed(tmp_path / "in", f"{number}.json", *lines)
         changes.keep_versions(_stream(spark, tmp_path), table, checkpoint).awaitTermination()
         if number == 1:
-            covered = changes.compact(spark, table)
-            assert changes.compact(spark, table) == covered
+            covered = changes.compact_versions(spark, table)
+            assert changes.compact_versions(spark, table) == covered
         expected = t.rows(cdc.cdc_current_state(t.landed(spark, *everything)))
         assert t.rows(changes.current_state(spark, table)) == expected
-    changes.compact(spark, table)
+    changes.compact_versions(spark, table)
     assert t.rows(changes.current_state(spark, table), "row_key", "transaction_amount") == [
         ("A", Decimal("3.00")), ("C", Decimal("6.00"))]
 
@@ -139,3 +142,13 @@ def test_high_value_live(spark, tmp_path):
     query.awaitTermination()
     assert sinks.rows_read(query) == 3
     assert t.rows(spark.read.parquet(table), "transaction_id") == [(1,)]
+
+
+def test_one_bad_value_does_not_stop_a_live_query(spark, tmp_path):
+    bad = t.envelope(1, "INSERT", after={**t.image("1.00"), "transaction_amount": "a lot", "customer_id": "x"})
+    _feed(tmp_path / "in", "0.json", bad, t.envelope(2, "INSERT", after=t.image("20000.00")))
+    table = str(tmp_path / "high")
+    sinks.append(changes.high_value(_stream(spark, tmp_path)), table, str(tmp_path / "checkpoint")).awaitTermination()
+    assert t.rows(spark.read.parquet(table), "transaction_id") == [(2,)]
+    with pytest.raises(Exception):
+        cdc.cdc_transactions(t.landed(spark, bad)).collect()
