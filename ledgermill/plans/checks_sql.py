@@ -56,8 +56,8 @@ STG_TX = (
   SELECT transaction_id, customer_id, transaction_date, transaction_amount,
          upper(trim(transaction_type, ' ')) AS transaction_type, data_source,
          CAST(date_trunc('month', transaction_date) AS DATE) AS transaction_month,
-         CASE WHEN transaction_amount > 5000 THEN 'High'
-              WHEN transaction_amount > 1000 THEN 'Medium' ELSE 'Low' END AS amount_category,
+         CASE WHEN transaction_amount <= 1000 THEN 'Low'
+              WHEN transaction_amount <= 5000 THEN 'Medium' ELSE 'High' END AS amount_category,
          ingestion_timestamp
   FROM tx)"""
 )
@@ -146,8 +146,8 @@ c360 AS (
          {mean('transaction_amount', 2, 6)} AS avg_transaction,
          MAX(transaction_date) AS last_transaction_date,
          COUNT(DISTINCT transaction_month) AS active_months,
-         CASE WHEN SUM(transaction_amount) > 50000 THEN 'Premium'
-              WHEN SUM(transaction_amount) > 15000 THEN 'Standard' ELSE 'Basic' END AS customer_tier
+         ['Basic', 'Standard', 'Premium'][1 + COALESCE(CAST(SUM(transaction_amount) > 15000 AS INTEGER)
+           + CAST(SUM(transaction_amount) > 50000 AS INTEGER), 0)] AS customer_tier
   FROM joined GROUP BY ALL)"""
 )
 
@@ -273,8 +273,8 @@ SQL: dict[str, str] = {
     "stg_mortgages": f"""WITH {STG_MORT} SELECT * REPLACE ({day('week_start_date')} AS week_start_date) FROM smort""",
     "mortgage_base": f"""WITH {HISTORY} SELECT loan_record_id, loan_id, {day('week_start_date')} AS week_start_date,
   week, ts,
-  upper(trim(replace(replace(replace(loan_type_name, 'FSA/RHS-guaranteed', 'FSA_RHS'), 'FHA-insured', 'FHA'),
-                     'VA-guaranteed', 'VA'))) AS loan_type_name,
+  CASE trim(loan_type_name) WHEN 'FSA/RHS-guaranteed' THEN 'FSA_RHS' WHEN 'FHA-insured' THEN 'FHA'
+       WHEN 'VA-guaranteed' THEN 'VA' ELSE upper(trim(loan_type_name)) END AS loan_type_name,
   upper(regexp_replace(loan_purpose_name, '[- .]', '_', 'g')) AS loan_purpose_name,
   upper(trim(regexp_replace(county_name, '[-_.]', '', 'g'))) AS county_name,
   CAST(income_units AS DOUBLE) AS applicant_income_000s, {as_double('loan_amount_000s')} AS loan_amount_000s,

@@ -60,6 +60,26 @@ def register_cdc_views(landed: DataFrame) -> None:
         view(landed).createOrReplaceTempView(name)
 
 
+def register_views(
+    spark: SparkSession, raw: Raw, landed: DataFrame | None = None, role: str | None = None
+) -> None:
+    """Everything as temporary views, so that all of it can be queried in SQL.
+
+    ``customer_table`` follows the session variable ``reader_role``; staging and marts show
+    what ``role`` may see.
+    """
+    raw.customers.createOrReplaceTempView("customer_table_unmasked")
+    governance.masked_view(spark, "customer_table_unmasked", "customer_table")
+    raw.mortgages.createOrReplaceTempView("mortgage_table")
+    raw.transactions.createOrReplaceTempView("transactions_table")
+    stg = staging_models(raw, role)
+    for name, rows in {**stg, **mart_models(raw, stg)}.items():
+        rows.createOrReplaceTempView(name)
+    if landed is not None:
+        landed.createOrReplaceTempView("cdc_streaming_table")
+        register_cdc_views(landed)
+
+
 def schema_for(custom: str | None, default: str) -> str:
     """A layer's own schema, trimmed and in upper case, or else the default one."""
     return default if custom is None else custom.strip().upper()

@@ -104,3 +104,71 @@ def test_staging_keeps_types(stg):
     types = dict(stg["stg_transactions"].dtypes)
     assert types["transaction_amount"] == "decimal(10,2)" and types["transaction_month"] == "date"
     assert dict(staging.stg_transactions(stg["stg_transactions"]).dtypes)["transaction_month"] == "date"
+
+
+def test_customers_sharing_one_loan_are_split_over_tasks(spark):
+    """A third of the customers has one loan: the join's hot partition is read in pieces."""
+    from pyspark.sql import functions as F
+
+    ids = F.col("id")
+    people = spark.range(60_000).select(
+        ids.alias("customer_id"), F.when(ids % 3 == 0, 7).otherwise(ids).cast("bigint").alias("loan_record_id"),
+        F.sha2(ids.cast("string"), 256).alias("first_name"), F.lit("l").alias("last_name"),
+        F.lit("1").alias("phone_number"), F.lit(t.NOW).alias("created_at"))
+    path = scratch(spark, "hot")
+    people.write.parquet(path)
+    loans = t.mortgages(spark, t.mortgage(7), t.mortgage(8))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.files.maxPartitionBytes": "256k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        stg = staging.stg_customers(spark.read.parquet(path))
+        profiles = marts.customer_profiles(stg, staging.stg_mortgages(loans))
+        counted = profiles.groupBy("loan_amount").count()
+        # the third, and the customers numbered 7 and 8
+        assert sorted(r["count"] for r in counted.collect()) == [20_002, 39_998]
+        assert "SortMergeJoin(skew=true)" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_day_with_most_rows_is_written_by_several_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(200_000).select(
+        F.col("id").alias("transaction_id"), F.col("id").alias("customer_id"),
+        F.lit(dt.date(2024, 5, 1)).alias("transaction_date"), F.lit(1).cast("decimal(10,2)").alias("transaction_amount"),
+        F.sha2(F.col("id").cast("string"), 256).alias("transaction_type"), F.lit("HISTORICAL").alias("data_source"),
+        F.lit(t.NOW).alias("ingestion_timestamp"), F.lit(t.NOW).alias("created_at"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        stores.create_transaction_store(rows, "one_day_store")
+    finally:
+        spark.conf.set(key, before)
+    assert spark.table("one_day_store").select(F.input_file_name()).distinct().count() > 1
+
+
+def test_views_answer_sql(spark, stored):
+    raw = models.Raw(stored["customers"], stored["mortgages"], stored["transactions"])
+    models.register_views(spark, raw, stored["landed"], role="data_steward")
+    queries = [
+        "SELECT count(*) FROM customer_table JOIN mortgage_table USING (loan_record_id)",
+        "SELECT count(*) FROM transactions_table WHERE data_source = 'STREAMING'",
+        "SELECT count(*) FROM (SELECT * FROM cdc_transactions ORDER BY transaction_id DESC LIMIT 10)",
+        "SELECT count(*) FROM customer_360 c LEFT JOIN stg_transactions t ON c.customer_id = t.customer_id",
+        "SELECT count(*) FROM cdc_streaming_table",
+        "SELECT count(*) FROM mortgage_base",
+        "SELECT count(*) FROM transaction_summary",
+    ]
+    assert [spark.sql(q).first()[0] for q in queries] == [1] * len(queries)
+    assert spark.sql("SELECT last_name FROM customer_table").first()[0] == "***"
+    assert spark.sql("SELECT last_name FROM customer_360").first()[0] == "B"
