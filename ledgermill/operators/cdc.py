@@ -135,9 +135,14 @@ def cdc_latest_inserts(landed: DataFrame, rows: int = 10) -> DataFrame:
     )
 
 
+def _moment(at: dt.datetime) -> Column:
+    """A time without zone is one of the session's zone, not of the machine's."""
+    return F.lit(at) if at.tzinfo else F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def cdc_recent_activity(landed: DataFrame, as_of: dt.datetime, hours: int = 1) -> DataFrame:
     """Events per action committed in the last ``hours`` before ``as_of`` (or after it)."""
-    since = F.lit(as_of).cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
+    since = _moment(as_of) - F.make_dt_interval(hours=F.lit(hours))
     return (
         cdc_transactions(landed)
         .where(F.col("committed_timestamp") >= since)

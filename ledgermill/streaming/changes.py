@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgermill.functions import money
+from ledgermill.functions.envelope import IMAGE_FIELDS
 from ledgermill.operators import cdc
 from ledgermill.sources import files
 from ledgermill.streaming import sinks
@@ -55,6 +56,15 @@ def recent_activity(
 
 
 PARTIAL_KEY = ["cdc_action", "transaction_type", "customer_id"]
+PARTIAL_COLUMNS = (
+    "cdc_action string, transaction_type string, customer_id bigint, events bigint, amounts bigint, "
+    "total decimal(38,0), lowest decimal(38,0), highest decimal(38,0)"
+)
+VERSION_COLUMNS = (
+    "row_key string, committed_ms bigint, event_id bigint, cdc_action string, image struct<"
+    + ", ".join(f"{name}: {kind}" for name, kind in IMAGE_FIELDS)
+    + ">"
+)
 
 
 def partial_sums(landed: DataFrame) -> DataFrame:
@@ -95,14 +105,14 @@ def keep_partial_sums(
     return sinks.each_batch(landed, partial_sums, path, checkpoint, trigger)
 
 
-def compact_sums(spark: SparkSession, path: str) -> int:
-    return sinks.compact(spark, path, merge_sums)
+def compact_sums(spark: SparkSession, path: str) -> int | None:
+    return sinks.compact(sinks.read_log(spark, path, PARTIAL_COLUMNS), path, merge_sums)
 
 
 def action_summary(spark: SparkSession, path: str) -> DataFrame:
     """Volume per action over all micro-batches so far."""
     return (
-        sinks.in_force(spark.read.parquet(path))
+        sinks.in_force(sinks.read_log(spark, path, PARTIAL_COLUMNS))
         .groupBy("cdc_action")
         .agg(
             F.sum("events").alias("transaction_count"),
@@ -116,7 +126,7 @@ def action_summary(spark: SparkSession, path: str) -> DataFrame:
 def type_summary(spark: SparkSession, path: str) -> DataFrame:
     """Insert events per type over all micro-batches so far."""
     return (
-        sinks.in_force(spark.read.parquet(path))
+        sinks.in_force(sinks.read_log(spark, path, PARTIAL_COLUMNS))
         .where(F.col("cdc_action") == "INSERT")
         .groupBy("transaction_type", "cdc_action")
         .agg(
@@ -143,9 +153,9 @@ def keep_versions(
     return sinks.each_batch(landed, last_versions, path, checkpoint, trigger)
 
 
-def compact_versions(spark: SparkSession, path: str) -> int:
-    return sinks.compact(spark, path, cdc.fold)
+def compact_versions(spark: SparkSession, path: str) -> int | None:
+    return sinks.compact(sinks.read_log(spark, path, VERSION_COLUMNS), path, cdc.fold)
 
 
 def current_state(spark: SparkSession, path: str) -> DataFrame:
-    return cdc.live_rows(cdc.fold(sinks.in_force(spark.read.parquet(path))))
+    return cdc.live_rows(cdc.fold(sinks.in_force(sinks.read_log(spark, path, VERSION_COLUMNS))))

@@ -68,6 +68,11 @@ def each_batch(
     )
 
 
+def read_log(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """All partitions kept at ``path``; no rows yet is fine."""
+    return spark.read.schema(f"{columns}, level string, batch bigint").parquet(path)
+
+
 def in_force(log: DataFrame) -> DataFrame:
     """The last snapshot and the changes after it; other partitions are not read."""
     snapshot = log.where(F.col("level") == "snapshot").agg(F.max("batch").alias("last")).scalar()
@@ -78,19 +83,19 @@ def in_force(log: DataFrame) -> DataFrame:
     ).drop("level", "batch")
 
 
-def compact(spark: SparkSession, path: str, condense: Callable[[DataFrame], DataFrame]) -> int:
+def compact(log: DataFrame, path: str, condense: Callable[[DataFrame], DataFrame]) -> int | None:
     """Condense everything so far into one snapshot, which later reads start from.
 
-    Returns the number of the last micro-batch it covers. May run beside the stream: the
-    files are listed once, so batches that come later are read on top of the snapshot.
+    Returns the number of the last micro-batch it covers, if any. May run beside the stream:
+    the files are listed once, so batches that come later are read on top of the snapshot.
     """
-    log = spark.read.parquet(path)
     newest = log.groupBy("level").agg(F.max("batch").alias("last")).collect()
     last = {row["level"]: row["last"] for row in newest}
-    if last.get("snapshot") != last["changes"]:
-        tags = {"level": F.lit("snapshot"), "batch": F.lit(last["changes"]).cast("bigint")}
+    covered = last.get("changes")
+    if covered is not None and covered != last.get("snapshot"):
+        tags = {"level": F.lit("snapshot"), "batch": F.lit(covered).cast("bigint")}
         write_batch(condense(in_force(log)).withColumns(tags), path, "level", "batch")
-    return last["changes"]
+    return covered
 
 
 def rows_read(query: StreamingQuery) -> int:

@@ -61,6 +61,22 @@ def test_recent_activity_includes_the_edge(spark):
     )
     assert t.rows(cdc.cdc_recent_activity(events, as_of), "cdc_action", "recent_transactions") == [
         ("INSERT", 1), ("UPDATE", 1)]
+    zoned = as_of.replace(tzinfo=dt.timezone(dt.timedelta(hours=-3)))  # three hours later
+    assert cdc.cdc_recent_activity(events, zoned).count() == 0
+
+
+def test_time_without_zone_is_session_time(spark, monkeypatch):
+    import time
+
+    events = t.landed(spark, t.envelope(1, "INSERT", at=T0, after=t.image("1.00")))
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        just_after = dt.datetime(2023, 11, 14, 22, 13, 21)  # T0 is 22:13:20 UTC
+        assert cdc.cdc_recent_activity(events, just_after).count() == 1
+    finally:
+        monkeypatch.undo()
+        time.tzset()
 
 
 def test_fold_takes_the_last_version(spark):

@@ -118,6 +118,15 @@ def test_state_with_late_events_and_snapshots(spark, tmp_path):
         ("A", Decimal("3.00")), ("C", Decimal("6.00"))]
 
 
+def test_no_usable_rows_yet(spark, tmp_path):
+    _feed(tmp_path / "in", "0.json", '{"object":"x"}')
+    for keep, name in ((changes.keep_versions, "state"), (changes.keep_partial_sums, "sums")):
+        keep(_stream(spark, tmp_path), str(tmp_path / name), str(tmp_path / f"{name}-checkpoint")).awaitTermination()
+    assert changes.current_state(spark, str(tmp_path / "state")).count() == 0
+    assert changes.action_summary(spark, str(tmp_path / "sums")).count() == 0
+    assert changes.compact_versions(spark, str(tmp_path / "state")) is None
+
+
 def test_windows_drop_late_rows(spark, tmp_path):
     hour = 3_600_000
     table, checkpoint = str(tmp_path / "recent"), str(tmp_path / "checkpoint")
