@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ledgermill.functions import fixed
+from ledgermill.functions import envelope as env, fixed
 from ledgermill.operators import cdc
 from ledgermill.plans.models import Raw
 from ledgermill.sources import files
@@ -147,13 +147,8 @@ def _event_fields(events: DataFrame) -> DataFrame:
     )
 
 
-def envelope_lines(events: DataFrame, steady: bool = False) -> DataFrame:
-    """Events as CDC envelopes in JSON text, column ``value``; batch or stream.
-
-    ``steady`` amounts change only from day to day, and the before-image repeats the day's
-    amount, so that most before-images continue the key's history and some do not.
-    """
-    fields = _event_fields(events)
+def _envelope(steady: bool) -> Column:
+    """One event, as ``_event_fields`` gives it, in the shape of a CDC envelope."""
     amount = F.col("transaction_amount")
     if steady:
         odd_day = F.dayofmonth("transaction_date") % 2
@@ -183,8 +178,12 @@ def envelope_lines(events: DataFrame, steady: bool = False) -> DataFrame:
         image(action != "INSERT").alias("record_before"),
         image(action != "DELETE").alias("record_after"),
     )
-    envelope = F.struct(F.lit("cdc_db_table_commit").alias("object"), transaction.alias("transaction"))
-    return fields.select(F.to_json(envelope).alias("value"))
+    return F.struct(F.lit("cdc_db_table_commit").alias("object"), transaction.alias("transaction"))
+
+
+def envelope_lines(events: DataFrame) -> DataFrame:
+    """Events as CDC envelopes in JSON text, column ``value``; batch or stream."""
+    return _event_fields(events).select(F.to_json(_envelope(steady=False)).alias("value"))
 
 
 IMAGE_TYPE = T.StructType(
@@ -213,11 +212,19 @@ def events_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cdc_landed(spark: SparkSession, folder: str, steady: bool = False) -> DataFrame:
-    return files.landed(envelope_lines(events(spark, folder), steady))
+    """Events as the landing table of CDC envelopes.
+
+    ``steady`` amounts change only from day to day, and the before-image repeats the day's
+    amount, so that most before-images continue the key's history and some do not.
+    """
+    fields = _event_fields(events(spark, folder))
+    record = F.to_variant_object(_envelope(steady))
+    # exploded, so that filters on the record do not build it a second time
+    return fields.select(F.explode(F.array(record)).alias(env.RECORD))
 
 
 def cdc_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The landing table as a live stream."""
+    """The landing table as a live stream of parsed JSON text."""
     return files.landed(envelope_lines(events_stream(spark, folder)))
 
 

@@ -19,6 +19,9 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def _cell(value):
     if isinstance(value, float):
         return "NaN" if math.isnan(value) else repr(value)
@@ -36,6 +39,10 @@ def differences(result, connection: duckdb.DuckDBPyConnection, sql: str) -> str
     sql_names = [column[0] for column in relation.description]
     if sorted(result.columns) != sorted(sql_names):
         return f"columns {sorted(result.columns)} and {sorted(sql_names)}"
+    sql_types = {column[0]: str(column[1]) for column in relation.description}
+    types = {name: TYPES[kind] for name, kind in result.dtypes}
+    if types != sql_types:
+        return f"types differ: {set(types.items()) ^ set(sql_types.items())}"
     expected = rows_by_name(sql_names, relation.fetchall())
     found = rows_by_name(result.columns, [tuple(row) for row in result.collect()])
     if expected == found:
