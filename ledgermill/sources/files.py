@@ -8,6 +8,20 @@ from ledgermill import schemas
 from ledgermill.functions import envelope as env
 
 
+FEW_PIECES = 16  # about 2 GB at Spark's default piece size
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal out input that comes in few pieces over all cores; leave other input alone.
+
+    One compressed file or one row group cannot be split, and all work per row would stay in
+    one task. Filters and column choices still reach the scan. Nothing is read to decide.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    pieces = rows.rdd.getNumPartitions()
+    return rows.repartition(cores) if pieces < min(cores, FEW_PIECES) else rows
+
+
 def load_mortgages_csv(spark: SparkSession, path: str) -> DataFrame:
     """Comma-separated mortgages: one header line, then ten columns taken by position."""
     return (

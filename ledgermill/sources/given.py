@@ -199,7 +199,7 @@ IMAGE_TYPE = T.StructType(
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events")
+    return files.spread(table(spark, folder, "events"))
 
 
 def events_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -211,21 +211,24 @@ def events_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _records(events: DataFrame, steady: bool = False) -> DataFrame:
+    record = F.to_variant_object(_envelope(steady))
+    # exploded, so that filters on the record do not build it a second time
+    return _event_fields(events).select(F.explode(F.array(record)).alias(env.RECORD))
+
+
 def cdc_landed(spark: SparkSession, folder: str, steady: bool = False) -> DataFrame:
     """Events as the landing table of CDC envelopes.
 
     ``steady`` amounts change only from day to day, and the before-image repeats the day's
     amount, so that most before-images continue the key's history and some do not.
     """
-    fields = _event_fields(events(spark, folder))
-    record = F.to_variant_object(_envelope(steady))
-    # exploded, so that filters on the record do not build it a second time
-    return fields.select(F.explode(F.array(record)).alias(env.RECORD))
+    return _records(events(spark, folder), steady)
 
 
 def cdc_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The landing table as a live stream of parsed JSON text."""
-    return files.landed(envelope_lines(events_stream(spark, folder)))
+    """The landing table as a live stream."""
+    return _records(events_stream(spark, folder))
 
 
 def feed_lines(spark: SparkSession, folder: str) -> DataFrame:

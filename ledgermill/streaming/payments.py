@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 from operator import and_
 
@@ -53,6 +54,46 @@ def append_transactions(
     return sinks.append(rows, path, checkpoint, trigger, STORE_LAYOUT)
 
 
+DELETED_COLUMNS = "day date, deleted_at timestamp"
+
+
+def _deleted_days(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DELETED_COLUMNS).parquet(f"{path}-deleted")
+
+
+def open_store(spark: SparkSession, path: str) -> None:
+    """Prepare the list of deleted days beside a live store; an existing one is kept."""
+    spark.createDataFrame([], DELETED_COLUMNS).write.mode("append").parquet(f"{path}-deleted")
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The live rows that have not been deleted.
+
+    There is at most one row per deleted day to match, so that side is broadcast.
+    """
+    rows = spark.read.parquet(path)
+    deleted = _deleted_days(spark, path).groupBy("day").agg(F.max("deleted_at").alias("deleted_at"))
+    gone = (F.col("ingest_date") == F.col("day")) & (F.col("ingestion_timestamp") <= F.col("deleted_at"))
+    return rows.join(F.broadcast(deleted), gone, "left_anti")
+
+
+def delete_day(spark: SparkSession, path: str, day: dt.date | None = None) -> int:
+    """Delete what has been streamed on one day (today unless named); returns the row count.
+
+    The store belongs to the live query, whose own log lists its files, so no file is
+    touched: the deletion is written down, and readers leave out rows that were there by
+    then. Rows that arrive later stay, as after any DELETE.
+    """
+    today, now = spark.sql("SELECT current_date(), current_timestamp()").first()
+    day = day or today
+    gone = read_store(spark, path).where(F.col("ingest_date") == F.lit(day)).where(
+        F.col("ingestion_timestamp") <= F.lit(now)
+    )
+    number = gone.count()
+    spark.createDataFrame([(day, now)], DELETED_COLUMNS).write.mode("append").parquet(f"{path}-deleted")
+    return number
+
+
 def counters(lines: DataFrame) -> DataFrame:
     """Running totals of the feed; on a stream one row of state, summed task by task."""
     return read_lines(lines).agg(

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 from decimal import Decimal
 
@@ -32,6 +33,27 @@ def test_payments_once_over_restarts(spark, tmp_path):
     assert stored.where("ingestion_timestamp IS NULL OR created_at IS NULL").count() == 0
 
 
+def test_delete_a_day_of_the_live_store(spark, tmp_path):
+    table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
+
+    def stream(name, *numbers):
+        _feed(tmp_path / "in", name, *[_payment(n) for n in numbers])
+        payments.append_transactions(payments.feed(spark, str(tmp_path / "in")), table, checkpoint).awaitTermination()
+
+    stream("0.json", 1, 2)
+    payments.open_store(spark, table)
+    payments.open_store(spark, table)
+    assert payments.read_store(spark, table).count() == 2
+    assert payments.delete_day(spark, table, dt.date(2020, 1, 1)) == 0
+    today = spark.sql("SELECT current_date()").first()[0]
+    assert payments.delete_day(spark, table) == 2
+    assert payments.read_store(spark, table).count() == 0
+    stream("1.json", 3)
+    assert t.rows(payments.read_store(spark, table), "transaction_id") == [(3,)]
+    assert payments.delete_day(spark, table, today) == 1
+    assert payments.delete_day(spark, table, today) == 0
+
+
 def test_counters_run_on(spark, tmp_path):
     table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
     for round_, lines in enumerate([[_payment(1, anomaly=True), "{cut"], [_payment(2), _payment(3)]]):
