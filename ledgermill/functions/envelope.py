@@ -34,7 +34,13 @@ class Envelope:
         self._get = F.try_variant_get if lenient else F.variant_get
 
     def part(self, path: str, kind: str = "string") -> Column:
-        return self._get(RECORD, f"$.{path}", kind)
+        """One path with one type, to be named by the caller.
+
+        The column notes its path as metadata of its own. Otherwise it would take over the
+        marks Spark puts on paths read straight from files, and a struct of such columns,
+        once written, would be mistaken for a record when it is read again.
+        """
+        return self._get(RECORD, f"$.{path}", kind).alias(path, metadata={"path": path})
 
     def commit(self, name: str, kind: str = "string") -> Column:
         return self.part(f"transaction.{name}", kind)

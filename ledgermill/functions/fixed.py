@@ -55,7 +55,6 @@ LOAN_ID_OFFSET = 1000
 
 # dashboard
 PERIODS = {"Last 7 Days": 7, "Last 30 Days": 30, "Last 90 Days": 90, "Last Year": 365}
-TYPE_CHOICES = ["leisure", "lifestyle", "business", "healthcare", "education"]
 DEFAULT_TYPES = ["leisure", "lifestyle", "business"]
 NEWEST_ROWS = 10000
 RECENT_ROWS = 20

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgermill.functions import envelope as env, fixed, money
 from ledgermill.operators.ordering import with_position
+from ledgermill.sources.files import committed_since
 
 
 def cdc_parsed(landed: DataFrame, lenient: bool = False) -> DataFrame:
@@ -141,10 +142,13 @@ def _moment(at: dt.datetime) -> Column:
 
 
 def cdc_recent_activity(landed: DataFrame, as_of: dt.datetime, hours: int = 1) -> DataFrame:
-    """Events per action committed in the last ``hours`` before ``as_of`` (or after it)."""
+    """Events per action committed in the last ``hours`` before ``as_of`` (or after it).
+
+    Of a landing table stored by commit day only the days in question are read.
+    """
     since = _moment(as_of) - F.make_dt_interval(hours=F.lit(hours))
     return (
-        cdc_transactions(landed)
+        cdc_transactions(committed_since(landed, since))
         .where(F.col("committed_timestamp") >= since)
         .groupBy("cdc_action")
         .agg(F.count("*").alias("recent_transactions"), _mean_amount().alias("avg_amount"))

@@ -17,14 +17,16 @@ def _days_before(as_of: dt.date, days: int):
 def dashboard_transactions(
     transactions: DataFrame,
     as_of: dt.date,
-    days_back: int = 30,
+    days_back: int | str = "Last 30 Days",
     types: list[str] = fixed.DEFAULT_TYPES,
     rows: int = fixed.NEWEST_ROWS,
 ) -> DataFrame:
     """The newest staged transactions of the chosen types; no type chosen, no rows.
 
-    Staged types are upper case, so the choice is compared in upper case too.
+    The period is a number of days or the name of one of ``fixed.PERIODS``. Staged types are
+    upper case, so the choice is compared in upper case too.
     """
+    days_back = fixed.PERIODS.get(days_back, days_back)
     chosen = transactions.where(
         (F.col("transaction_date") >= _days_before(as_of, days_back))
         & F.col("transaction_type").isin([t.strip().upper() for t in types])

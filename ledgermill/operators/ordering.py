@@ -12,19 +12,24 @@ _ROWS_PER_SLOT = 33  # monotonically_increasing_id keeps the row's place in its
 def with_position(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
     """Add each row's place (from 0, without gaps) in the order given.
 
-    The rows are range-partitioned and sorted once, tagged with partition and place, and
-    written to the shared folder: range bounds are sampled, so the tags must be fixed before
-    they are counted, and a lost executor must not change them. What remains is a running
-    sum over one row per range partition, which is broadcast; its size is the number of
-    partitions, whatever the data. The arrival number, last in the order, makes copies of
-    one row distinct, so a group of copies spreads over partitions as well.
+    The rows are numbered as they arrive and written to the shared folder, then range-
+    partitioned, sorted, tagged with partition and place, and written again. What remains is
+    a running sum over one row per range partition, which is broadcast; its size is the
+    number of partitions, whatever the data.
+
+    The arrival number, last in the order, makes copies of one row distinct, so a group of
+    copies spreads over partitions as well. It is written before it is used because a second
+    evaluation may see the rows in another order; so the input, costly or not, is evaluated
+    once although range partitioning reads twice, and a lost executor changes nothing. The
+    tags are written because the range bounds are sampled anew by every evaluation.
     """
     spark = df.sparkSession
     arrival, slot = f"__{name}_arrival", f"__{name}_slot"
     keys = [*order, F.col(arrival)]
-    path = scratch(spark, "position")
+    arrived, path = scratch(spark, "arrived"), scratch(spark, "position")
+    df.withColumn(arrival, F.monotonically_increasing_id()).write.parquet(arrived)
     (
-        df.withColumn(arrival, F.monotonically_increasing_id())
+        spark.read.parquet(arrived)
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .drop(arrival)

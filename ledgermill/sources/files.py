@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgermill import schemas
 from ledgermill.functions import envelope as env
@@ -80,6 +80,25 @@ def landed(lines: DataFrame) -> DataFrame:
     return lines.select(F.explode(record).alias(env.RECORD))
 
 
+COMMIT_DATE = "commit_date"
+
+
+def with_commit_date(records: DataFrame) -> DataFrame:
+    """Landed records next to the day they were committed, by which they are stored."""
+    committed = env.Envelope(lenient=True).commit_time()
+    return records.withColumn(COMMIT_DATE, F.to_date(committed))
+
+
+def committed_since(records: DataFrame, since: Column) -> DataFrame:
+    """Leave out the stored days that lie before ``since``; records without days are all kept.
+
+    A day is added, in case they were stored under another time zone.
+    """
+    if COMMIT_DATE not in records.columns:
+        return records
+    return records.where(F.col(COMMIT_DATE) >= F.date_sub(F.to_date(since), 1))
+
+
 def rejected(lines: DataFrame) -> DataFrame:
     """The lines that are not JSON, kept as text."""
     return lines.where(F.try_parse_json("value").isNull()).select("value")

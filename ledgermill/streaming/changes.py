@@ -17,10 +17,12 @@ def land(
 ) -> list[StreamingQuery]:
     """Append every JSON line to the landing table and every other line to ``rejects``.
 
-    Two queries with a checkpoint each: both outputs get each of their lines exactly once.
+    The landing table is stored by commit day, so that monitoring reads recent days only. Two queries with a checkpoint each: both outputs get each of their lines exactly once.
     """
     return [
-        sinks.append(files.landed(lines), path, f"{checkpoint}/landed", trigger),
+        sinks.append(
+            files.with_commit_date(files.landed(lines)), path, f"{checkpoint}/landed", trigger, [files.COMMIT_DATE]
+        ),
         sinks.append(files.rejected(lines), rejects, f"{checkpoint}/rejects", trigger),
     ]
 

@@ -24,6 +24,12 @@ def test_types_match_in_any_case_and_edges_count(spark):
     assert shown.columns == ["transaction_id", "customer_id", "transaction_type", "amount", "transaction_date", "description"]
 
 
+def test_named_periods(spark):
+    for name, days in (("Last 7 Days", 7), ("Last Year", 365)):
+        by_name = dashboard.dashboard_transactions(_staged(spark), AS_OF, name)
+        assert by_name.collect() == dashboard.dashboard_transactions(_staged(spark), AS_OF, days).collect()
+
+
 def test_no_type_no_rows(spark):
     shown = dashboard.dashboard_transactions(_staged(spark), AS_OF, 365, [])
     assert shown.count() == 0

@@ -72,3 +72,11 @@ def test_newest_equals_plain_top_k(spark):
         found = [tuple(r) for r in newest(frame, "day", rows, [F.col("id").desc()]).collect()]
         plain = sorted(((i, day) for i, day in enumerate(days)), key=lambda r: (r[1], r[0]), reverse=True)[:rows]
         assert found == plain
+
+
+def test_input_in_unstable_order_is_numbered_once(spark):
+    """Rows out of a shuffle, many of them copies: every number once, every row kept."""
+    rows = spark.range(5000).select((F.col("id") % 3).alias("k")).repartition(7)
+    found = with_position(rows, [F.col("k")]).orderBy("position").collect()
+    assert [r.position for r in found] == list(range(5000))
+    assert [r.k for r in found] == sorted(i % 3 for i in range(5000))

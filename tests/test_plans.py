@@ -172,3 +172,22 @@ def test_views_answer_sql(spark, stored):
     assert [spark.sql(q).first()[0] for q in queries] == [1] * len(queries)
     assert spark.sql("SELECT last_name FROM customer_table").first()[0] == "***"
     assert spark.sql("SELECT last_name FROM customer_360").first()[0] == "B"
+
+
+def test_recent_activity_reads_recent_days(spark):
+    from ledgermill.sources import files
+
+    day = 86_400_000
+    events = t.landed(spark, *[t.envelope(i, "INSERT", at=1_700_000_000_000 + i * day, after=t.image("1.00"))
+                               for i in range(5)], t.envelope(9, "INSERT", at=None))
+    path = scratch(spark, "by-day")
+    files.with_commit_date(events).write.partitionBy(files.COMMIT_DATE).parquet(path)
+    dated = spark.read.parquet(path)
+    as_of = dt.datetime(2023, 11, 18, 23, 0)  # the last event is at 22:13:20 that day
+    found = cdc.cdc_recent_activity(dated, as_of)
+    assert found.collect() == cdc.cdc_recent_activity(events, as_of).collect()
+    assert found.first().recent_transactions == 1
+    text = plan(found)
+    assert "PartitionFilters: [isnotnull(commit_date" in text and "commit_date" in text
+    assert cdc.cdc_total(dated).first()[0] == 6
+    assert cdc.cdc_parsed(dated).count() == 6
