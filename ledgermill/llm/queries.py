@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, packing
+from ledgermill.llm import bpe, packing, substrings
 from ledgermill.llm.store import table
 
 
@@ -17,6 +17,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-REGISTRY = {"op4_bpe": op4_bpe, "op6_packing": op6_packing}
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
 
-SQL: dict[str, str] = {}
+
+REGISTRY = {"op4_bpe": op4_bpe, "op6_packing": op6_packing, "op9_substrings": op9_substrings}
+
+SQL: dict[str, str] = {"op9_substrings": substrings.SQL}
