@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, licenses, packing, substrings
+from ledgermill.llm import bpe, licenses, packing, privacy, substrings
 from ledgermill.llm.store import table
 
 
@@ -13,6 +13,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.report(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -25,6 +29,6 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {"op2_licenses": op2_licenses, "op4_bpe": op4_bpe, "op6_packing": op6_packing, "op9_substrings": op9_substrings}
+REGISTRY = {"op2_licenses": op2_licenses, "op3_privacy": op3_privacy, "op4_bpe": op4_bpe, "op6_packing": op6_packing, "op9_substrings": op9_substrings}
 
 SQL: dict[str, str] = {"op2_licenses": licenses.SQL, "op9_substrings": substrings.SQL}
