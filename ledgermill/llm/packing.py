@@ -130,6 +130,16 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, n
     return sequence, offset, np.array(room, np.int64)
 
 
+def _packer(length: int, level: int):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
+        sequence, offset, room = place(frame["length"].to_numpy(np.int64), length)
+        ids = (frame["deal"] * (1 << 20) + sequence) * 8 + level
+        return frame.assign(sequence_id=ids, offset=offset, room=room[sequence])[[c.split()[0] for c in _PLACED.split(", ")]]
+
+    return run
+
+
 def pack(docs: DataFrame, path: str, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece."""
     all_pieces = written(pieces(docs, path, length))
@@ -146,14 +156,8 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, group: int = GROUP) -
         if not rows or (before is not None and rows > before // 2):
             break
         groups = -(-rows // group)
-
-        def run(frame: pd.DataFrame, level: int = level) -> pd.DataFrame:
-            frame = frame.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-            sequence, offset, room = place(frame["length"].to_numpy(np.int64), length)
-            return frame.assign(sequence_id=(frame["deal"] * (1 << 20) + sequence) * 8 + level, offset=offset, room=room[sequence]).drop(columns="deal")
-
         own = open_.select(*_names(), F.pmod(F.xxhash64(number), F.lit(groups)).alias("deal"))
-        placed = written(own.groupBy("deal").applyInPandas(run, _PLACED))
+        placed = written(own.groupBy("deal").applyInPandas(_packer(length, level), _PLACED))
         if groups == 1:
             done.append(placed)
             open_ = None

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, licenses, packing, privacy, substrings
+from ledgermill.llm import bpe, licenses, packing, partitions, privacy, substrings, topk
 from ledgermill.llm.store import table
 
 
@@ -25,10 +25,26 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {"op2_licenses": op2_licenses, "op3_privacy": op3_privacy, "op4_bpe": op4_bpe, "op6_packing": op6_packing, "op9_substrings": op9_substrings}
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partitions.search(table(spark, sf_dir, "embeddings"))
+
+
+REGISTRY = {
+    "op2_licenses": op2_licenses,
+    "op3_privacy": op3_privacy,
+    "op4_bpe": op4_bpe,
+    "op6_packing": op6_packing,
+    "op7_topk": op7_topk,
+    "op9_substrings": op9_substrings,
+    "op10_neighbours": op10_neighbours,
+}
 
-SQL: dict[str, str] = {"op2_licenses": licenses.SQL, "op9_substrings": substrings.SQL}
+SQL: dict[str, str] = {"op2_licenses": licenses.SQL, "op7_topk": topk.SQL, "op9_substrings": substrings.SQL}
