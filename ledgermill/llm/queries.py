@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, licenses, packing, partitions, privacy, substrings, topk
+from ledgermill.llm import bpe, licenses, packing, partitions, privacy, quality, substrings, topk
 from ledgermill.llm.store import table
 
 
@@ -21,6 +21,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -41,6 +45,7 @@ REGISTRY = {
     "op2_licenses": op2_licenses,
     "op3_privacy": op3_privacy,
     "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_topk": op7_topk,
     "op9_substrings": op9_substrings,
