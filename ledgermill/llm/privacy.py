@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgermill.llm.store import keyed, written
+from ledgermill.llm.store import held, keyed, released, written
 
 REMOVE = 0.95
 GENERALISE = 0.8
@@ -171,19 +171,16 @@ def report(docs: DataFrame) -> DataFrame:
 def sanitised(docs: DataFrame) -> DataFrame:
     """The same rows and columns with the spans of `text` replaced: patterns by their kind in brackets, disclosing
     terms by their kind of word, or by nothing where they give the entity away."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    doc_id = F.col("doc_id").cast("long")
-    keys = [F.xxhash64(doc_id, text).alias("_k1"), F.xxhash64(text, doc_id, F.lit(1)).alias("_k2")]  # as keyed() makes them
-    found = spans(docs)[1].select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.array_sort(F.transform("spans", _replacement)).alias("_spans"))
+    found = spans(docs)[1].select("k1", "k2", F.array_sort(F.transform("spans", _replacement)).alias("spans"))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     # what stands between the spans before and this one, then its replacement; inside an earlier span: nothing
     piece = lambda s: F.when(
         s["start"] >= s["reach"], F.concat(F.substring(text, s["reach"].cast("int") + 1, (s["start"] - s["reach"]).cast("int")), s["shown"])
     ).otherwise("")
-    end = F.array_max(F.transform("_spans", lambda s: s["end"])).cast("int")
-    clean = F.concat(F.array_join(F.transform("_spans", piece), ""), F.substring(text, end + 1, F.length(text)))
-    joined = docs.select("*", *keys).join(found, ["_k1", "_k2"], "left")
-    shown = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean).alias("text")
-    return joined.select(*[shown if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    end = F.array_max(F.transform("spans", lambda s: s["end"])).cast("int")
+    clean = F.concat(F.array_join(F.transform("spans", piece), ""), F.substring(text, end + 1, F.length(text)))
+    joined = held(docs).join(found, ["k1", "k2"], "left")
+    return released(joined, docs, F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(clean))
 
 
 def _replacement(span: Column) -> Column:

@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, licenses, packing, partitions, privacy, quality, substrings, topk
+from ledgermill.llm import bpe, licenses, lines, packing, partitions, privacy, quality, substrings, topk
 from ledgermill.llm.store import table
 
 
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.runs(table(spark, sf_dir, "documents"))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_lines": op1_lines,
     "op2_licenses": op2_licenses,
     "op3_privacy": op3_privacy,
     "op4_bpe": op4_bpe,
@@ -52,4 +57,4 @@ REGISTRY = {
     "op10_neighbours": op10_neighbours,
 }
 
-SQL: dict[str, str] = {"op2_licenses": licenses.SQL, "op7_topk": topk.SQL, "op9_substrings": substrings.SQL}
+SQL: dict[str, str] = {"op1_lines": lines.SQL, "op2_licenses": licenses.SQL, "op7_topk": topk.SQL, "op9_substrings": substrings.SQL}

@@ -29,12 +29,26 @@ def written(frame: DataFrame, partitions: int | None = None) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def _text():
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def _key() -> list:
+    doc_id = F.col("doc_id").cast("long")
+    return [F.xxhash64(doc_id, _text()).alias("k1"), F.xxhash64(_text(), doc_id, F.lit(1)).alias("k2")]
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text (null: empty) and a key (k1, k2) of 128 bits that is never null. Equal rows share a key."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        text.alias("text"),
-        F.xxhash64("doc_id", text).alias("k1"),
-        F.xxhash64(text, "doc_id", F.lit(1)).alias("k2"),
-    )
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"), *_key())
+
+
+def held(docs: DataFrame) -> DataFrame:
+    """row (all columns as they are) and the key as in keyed(): no column of docs can clash with an operator's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_key())
+
+
+def released(rows: DataFrame, docs: DataFrame, text=None) -> DataFrame:
+    """The columns of docs out of `row`, with another expression for text if one is given."""
+    shown = {"text": text} if text is not None else {}
+    return rows.select(*[shown.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
