@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import bpe, licenses, lines, packing, partitions, privacy, quality, substrings, topk
+from ledgermill.llm import bpe, licenses, lines, neardup, packing, partitions, privacy, quality, substrings, topk
 from ledgermill.llm.store import table
 
 
@@ -37,6 +37,10 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ REGISTRY = {
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_topk": op7_topk,
+    "op8_neardup": op8_neardup,
     "op9_substrings": op9_substrings,
     "op10_neighbours": op10_neighbours,
 }
