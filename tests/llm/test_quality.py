@@ -1,0 +1,77 @@
+"""Gated attention: gradients, held-out accuracy, odd rows."""
+
+import os
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ledgermill.llm import quality
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+LABEL = "doc_id long, quality int, toxic int"
+
+
+def test_gradients_against_differences(monkeypatch):
+    monkeypatch.setattr(quality, "STEPS", 3)
+    rng = np.random.default_rng(0)
+    bags = [rng.standard_normal((k, quality.FEATURES)).astype(np.float32) for k in (1, 3, 5, 2)]
+    label = np.array([0, 1, 1, 0.0])
+    model = quality.fit(bags, label)
+    x, first = np.concatenate(bags).astype(float), np.array([0, 1, 4, 9, 11])
+
+    def loss():
+        p = model.forward(x, first)["score"]
+        return -np.mean(label * np.log(p) + (1 - label) * np.log(1 - p))
+
+    for weight, slope in zip(model.weights, model.gradients(x, first, label), strict=True):
+        at = tuple(rng.integers(0, n) for n in weight.shape)
+        old = weight[at]
+        weight[at] = old + 1e-5
+        up = loss()
+        weight[at] = old - 1e-5
+        assert abs((up - loss()) / 2e-5 - slope[at]) < 1e-6
+        weight[at] = old
+
+
+def test_passages_cover_whole_texts():
+    texts = pa.array(["", None, "a " * 64, "A b, c. " * 50, " \n"])
+    x, first = quality.passages(texts)
+    assert first.tolist() == [0, 1, 2, 3, 6, 7] and np.isfinite(x).all()
+    assert np.allclose(np.expm1(x[:, -1]), [0, 0, 64, 64, 64, 22, 0], atol=1e-3)
+    # a passage's features do not depend on what stands beside its row
+    alone = quality.passages(texts.slice(3, 1))[0]
+    assert np.array_equal(alone, x[3:6])
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables not present")
+def test_held_out_accuracy(spark):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = quality.score(docs, labels).collect()
+    assert len(rows) == docs.count()
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    held = [(r.predicted, known[r.doc_id]) for r in rows if r.held_out and r.doc_id in known]
+    assert np.mean([a == b for a, b in held]) >= 0.97
+
+
+def test_held_out_labels_are_not_learned_from(spark, odd_rows):
+    docs = odd_rows([(i, "%% && " * 30 if i % 2 else "Words of a text. " * 30) for i in range(60)])
+    right = [(i, 1 - i % 2, 0) for i in range(60)]
+    wrong = [(i, q if zlib.crc32(str(i).encode()) % 3 != 1 else 1 - q, t) for i, q, t in right]
+    a, b = (sorted(map(tuple, quality.score(docs, spark.createDataFrame(x, LABEL)).collect())) for x in (right, wrong))
+    assert a == b and all(p == 1 - i % 2 for i, _, _, p in a)
+
+
+def test_odd_rows(spark, odd_rows):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (3, None, 0), (None, 1, 0)], LABEL)
+    docs = odd_rows([(None, None), (1, ""), (1, ""), (2, "x " * 5000)])
+    rows = quality.score(docs, labels).collect()
+    assert len(rows) == 4 and all(0 <= r.score <= 1 for r in rows)
+    none = quality.score(docs, labels.limit(0)).collect()
+    assert {(r.score, r.predicted) for r in none} == {(0.5, 1)}
+    assert quality.score(odd_rows([]), labels).count() == 0
+    kept = quality.accepted(docs, labels.limit(0))
+    assert kept.columns == docs.columns and kept.count() == 4
