@@ -8,6 +8,9 @@ from pyspark.sql import Column, functions as F
 
 RECORD = "record_content"
 
+# first and last millisecond of the years 1 to 9999
+COMMIT_RANGE = (-62_135_596_800_000, 253_402_300_799_999)
+
 # a bare NUMBER has no decimals, so amounts read through it are whole units
 WHOLE = "decimal(38,0)"
 CENTS = "decimal(10,2)"
@@ -31,6 +34,7 @@ class Envelope:
     """
 
     def __init__(self, lenient: bool = False):
+        self._lenient = lenient
         self._get = F.try_variant_get if lenient else F.variant_get
 
     def part(self, path: str, kind: str = "string") -> Column:
@@ -61,7 +65,9 @@ class Envelope:
         return self.commit("primaryKey_tokenized")
 
     def commit_ms(self) -> Column:
-        return self.commit("committed_at", "bigint")
+        """Commit time in milliseconds; a lenient reader gives NULL outside the years 1 to 9999."""
+        stamp = self.commit("committed_at", "bigint")
+        return F.when(stamp.between(*COMMIT_RANGE), stamp) if self._lenient else stamp
 
     def commit_time(self) -> Column:
         """Commit time with its milliseconds."""

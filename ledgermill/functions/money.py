@@ -39,17 +39,33 @@ def segment(has_mortgage: Column, spent: Column) -> Column:
     return F.when(has_mortgage, with_loan).otherwise(without_loan)
 
 
+# totals beyond this have no exact mean in 38 digits; their mean is NULL
+LARGEST_TOTAL = 10**29
+
+
+def _quotient(units: Column, rows: Column, digits: int) -> Column:
+    """``units / rows`` rounded half away from zero, then moved ``digits`` places to the right of the point.
+
+    Both are whole numbers. Remainder and whole quotient are exact whatever the number of rows.
+    """
+    whole = units.cast("decimal(38,0)")
+    by = F.when(rows > 0, rows).cast("decimal(20,0)")
+    rest = whole % by
+    full = ((whole - rest) / by).cast("decimal(38,0)")
+    up = F.when(F.abs(rest) * 2 >= by, F.signum(whole.cast("double")).cast("int")).otherwise(0)
+    return ((full + up) / F.lit(10**digits)).cast(f"decimal(38,{digits})")
+
+
 def mean(total: Column, rows: Column, digits: int = 2) -> Column:
-    """``total / rows`` rounded half away from zero; NULL when there are no rows.
+    """``total / rows`` with two or more digits, rounded half away from zero.
 
-    The operand types are narrowed so that the quotient keeps ten or more decimals.
+    NULL when there are no rows, and for a total of more than ``LARGEST_TOTAL``.
     """
-    return F.round(
-        F.when(rows > 0, total.cast("decimal(26,2)") / rows.cast("decimal(12,0)")), digits
-    )
+    fits = F.abs(total) <= F.lit(str(LARGEST_TOTAL)).cast("decimal(30,0)")
+    cents = F.when(fits, total).try_cast("decimal(38,2)")
+    return _quotient(cents * 10**digits, rows, digits)
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:
     """``100 * part / whole`` as an exact decimal; NULL when ``whole`` is 0."""
-    share = part.cast("decimal(15,0)") * F.lit(100).cast("decimal(3,0)")
-    return F.round(F.when(whole > 0, share / whole.cast("decimal(12,0)")), digits)
+    return _quotient(part.cast("decimal(20,0)") * F.lit(100 * 10**digits), whole, digits)

@@ -136,7 +136,7 @@ def cdc_latest_inserts(landed: DataFrame, rows: int = 10) -> DataFrame:
     )
 
 
-def _moment(at: dt.datetime) -> Column:
+def moment(at: dt.datetime) -> Column:
     """A time without zone is one of the session's zone, not of the machine's."""
     return F.lit(at) if at.tzinfo else F.lit(at.isoformat(sep=" ")).cast("timestamp")
 
@@ -146,7 +146,7 @@ def cdc_recent_activity(landed: DataFrame, as_of: dt.datetime, hours: int = 1) -
 
     Of a landing table stored by commit day only the days in question are read.
     """
-    since = _moment(as_of) - F.make_dt_interval(hours=F.lit(hours))
+    since = moment(as_of) - F.make_dt_interval(hours=F.lit(hours))
     return (
         cdc_transactions(committed_since(landed, since))
         .where(F.col("committed_timestamp") >= since)

@@ -14,20 +14,19 @@ def _days_before(as_of: dt.date, days: int):
     return F.date_sub(F.lit(as_of).cast("date"), days)
 
 
-def dashboard_transactions(
+def chosen_transactions(
     transactions: DataFrame,
     as_of: dt.date,
     days_back: int | str = "Last 30 Days",
     types: list[str] = fixed.DEFAULT_TYPES,
-    rows: int = fixed.NEWEST_ROWS,
 ) -> DataFrame:
-    """The newest staged transactions of the chosen types; no type chosen, no rows.
+    """All staged transactions of the chosen types and period; no type chosen, no rows.
 
     The period is a number of days or the name of one of ``fixed.PERIODS``. Staged types are
     upper case, so the choice is compared in upper case too.
     """
     days_back = fixed.PERIODS.get(days_back, days_back)
-    chosen = transactions.where(
+    return transactions.where(
         (F.col("transaction_date") >= _days_before(as_of, days_back))
         & F.col("transaction_type").isin([t.strip().upper() for t in types])
     ).select(
@@ -38,21 +37,33 @@ def dashboard_transactions(
         "transaction_date",
         F.col("data_source").alias("description"),
     )
-    return newest(chosen, "transaction_date", rows, [F.col("transaction_id").desc()])
 
 
-def volume_by_type(shown: DataFrame) -> DataFrame:
-    return shown.groupBy("transaction_type").agg(F.sum("amount").alias("amount"))
+def dashboard_transactions(
+    transactions: DataFrame,
+    as_of: dt.date,
+    days_back: int | str = "Last 30 Days",
+    types: list[str] = fixed.DEFAULT_TYPES,
+    rows: int = fixed.NEWEST_ROWS,
+) -> DataFrame:
+    """The newest of the chosen transactions, for a listing."""
+    return recent_transactions(chosen_transactions(transactions, as_of, days_back, types), rows)
 
 
-def daily_trends(shown: DataFrame) -> DataFrame:
-    return shown.groupBy("transaction_date").agg(
+def volume_by_type(chosen: DataFrame) -> DataFrame:
+    """Volume of the whole selection."""
+    return chosen.groupBy("transaction_type").agg(F.sum("amount").alias("amount"))
+
+
+def daily_trends(chosen: DataFrame) -> DataFrame:
+    """Volume and transactions of every day of the whole selection."""
+    return chosen.groupBy("transaction_date").agg(
         F.sum("amount").alias("amount"), F.count("transaction_id").alias("transaction_count")
     )
 
 
-def recent_transactions(shown: DataFrame, rows: int = fixed.RECENT_ROWS) -> DataFrame:
-    return shown.orderBy(F.col("transaction_date").desc(), F.col("transaction_id").desc()).limit(rows)
+def recent_transactions(chosen: DataFrame, rows: int = fixed.RECENT_ROWS) -> DataFrame:
+    return newest(chosen, "transaction_date", rows, [F.col("transaction_id").desc()])
 
 
 def dashboard_summary(
@@ -73,10 +84,10 @@ def dashboard_summary(
         )
     )
     copies = F.col("copies")
-    spent = F.coalesce(F.col("spent"), F.lit(0)).cast("decimal(20,2)") * copies.cast("decimal(10,0)")
+    spent = F.coalesce(F.col("spent"), F.lit(0)).cast("decimal(38,2)") * copies
     return people.join(recent, "customer_id", "left").agg(
         F.count("customer_id").alias("total_customers"),
         F.count(F.when(F.col("active"), F.col("customer_id"))).alias("active_customers_30d"),
-        F.sum(spent).cast("decimal(24,2)").alias("total_volume_30d"),
+        F.sum(spent).cast("decimal(38,2)").alias("total_volume_30d"),
         F.coalesce(F.sum(F.coalesce(F.col("n"), F.lit(0)) * copies), F.lit(0)).alias("total_transactions_30d"),
     )

@@ -54,7 +54,7 @@ def customer_360(customers: DataFrame, mortgages: DataFrame, transactions: DataF
     profiles = customer_profiles(customers, mortgages)
     spend = spend_per_customer(transactions)
     copies = F.col("copies")
-    spent = (F.col("total_spent") * copies.cast("decimal(10,0)")).cast("decimal(20,2)")
+    spent = (F.col("total_spent").cast("decimal(38,2)") * copies).cast("decimal(38,2)")
     return profiles.join(spend, "customer_id", "left").select(
         *PERSON,
         *LOAN,

@@ -54,8 +54,9 @@ def newest(df: DataFrame, day: str, rows: int, tie: list[Column]) -> DataFrame:
     """The ``rows`` newest rows by ``day``, newest first; equal days in the order of ``tie``.
 
     Rows per day are counted first. Days older than the one in which the count is reached
-    cannot contribute, so the second pass reads only what is at least as new, and the final
-    top-k has few rows to merge however large the table is.
+    cannot contribute, so the second pass reads only what is at least as new. Of that, every
+    task keeps its own top rows, groups of about the root of the number of tasks keep theirs,
+    and only one top list per group meets in the last task.
     """
     per_day = df.groupBy(day).agg(F.count("*").alias("__n"))
     newer = Window.orderBy(F.col(day).desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -63,8 +64,15 @@ def newest(df: DataFrame, day: str, rows: int, tie: list[Column]) -> DataFrame:
         day, F.coalesce(F.sum("__n").over(newer), F.lit(0)).alias("__before")
     )
     oldest = needed.where(F.col("__before") < rows).agg(F.min(day).alias("oldest"))
+    order = [F.col(day).desc(), *tie]
+    groups = max(1, round(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) ** 0.5))
+    in_group = Window.partitionBy("__group").orderBy(*order)
     return (
         df.where(F.col(day) >= oldest.scalar())
-        .orderBy(F.col(day).desc(), *tie)
+        .withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(groups)))
+        .withColumn("__rank", F.row_number().over(in_group))
+        .where(F.col("__rank") <= rows)
+        .drop("__group", "__rank")
+        .orderBy(*order)
         .limit(rows)
     )

@@ -44,13 +44,23 @@ def type_mix(transactions: DataFrame) -> DataFrame:
 
 
 def daily_volume_check(transactions: DataFrame, target: int = fixed.DAILY_TARGET) -> DataFrame:
-    """Rows per day against the band for working days or weekends."""
+    """Rows per day against the band for working days or weekends.
+
+    Every day from the first to the last is reported; a day without rows has none. Rows
+    without a date are a line of their own, as before.
+    """
     low, high = target // 2, target * 2
     weekend_low, weekend_high = int(low * fixed.WEEKEND_FACTOR), int(high * fixed.WEEKEND_FACTOR)
     weekend = F.dayofweek("transaction_date").isin(1, 7)
+    per_day = transactions.groupBy("transaction_date").agg(F.count("*").alias("transaction_count"))
+    period = per_day.agg(F.min("transaction_date").alias("first"), F.max("transaction_date").alias("last"))
+    calendar = period.where("first IS NOT NULL").select(
+        F.explode(F.sequence("first", "last")).alias("transaction_date"), F.lit(0).cast("bigint").alias("transaction_count")
+    )
     return (
-        transactions.groupBy("transaction_date")
-        .agg(F.count("*").alias("transaction_count"))
+        per_day.unionByName(calendar)
+        .groupBy("transaction_date")
+        .agg(F.sum("transaction_count").alias("transaction_count"))
         .select(
             "transaction_date",
             "transaction_count",

@@ -11,7 +11,7 @@ from ledgermill.functions import envelope as env
 from ledgermill.operators import cdc, dashboard, governance, marts, mortgages, quality, rules, staging
 from ledgermill.plans import models
 from ledgermill.plans.report import plain
-from ledgermill.session import pin_utc, scratch
+from ledgermill.session import name_folder, pin_utc, scratch
 from ledgermill.sources import files, given, stores
 from ledgermill.streaming import changes, payments, sinks
 
@@ -24,6 +24,9 @@ SHOWN_TYPES = ["5-low", "1-urgent", "3-medium"]
 DELETED_DAY = dt.date(2024, 1, 10)
 SALT = "check-salt"
 
+#: where the checks keep intermediate tables if the session names no shared folder
+CHECK_FOLDER = "/tmp/ledgermill-checks"
+
 REGISTRY: dict[str, Query] = {}
 
 
@@ -32,6 +35,8 @@ def query(run: Query) -> Query:
 
     def checked(spark: SparkSession, folder: str) -> DataFrame:
         pin_utc(spark)
+        if spark.sparkContext.master.startswith("local["):
+            name_folder(spark, CHECK_FOLDER)
         return plain(run(spark, folder))
 
     REGISTRY[run.__name__] = checked
@@ -118,6 +123,21 @@ def publish_models(spark, folder):
     return counts.select(F.col("table_name").alias("model"), F.col("record_count").alias("records"))
 
 
+def _published(spark, folder, model):
+    _check_schema(spark)
+    return spark.table(models.publish(spark, given.raw(spark, folder), mart_schema=" ledgermill_check ")[model])
+
+
+@query
+def published_customer_360(spark, folder):
+    return _published(spark, folder, "customer_360")
+
+
+@query
+def published_transaction_summary(spark, folder):
+    return _published(spark, folder, "transaction_summary")
+
+
 @query
 def delete_streaming_rows(spark, folder):
     _check_schema(spark)
@@ -205,35 +225,37 @@ def transaction_summary(spark, folder):
 # dashboard
 
 
-def _shown(spark, folder, days_back=WHOLE_PERIOD):
-    staged = _stg_transactions(spark, folder)
-    return dashboard.dashboard_transactions(staged, AS_OF, days_back, SHOWN_TYPES)
+def _chosen(spark, folder):
+    return dashboard.chosen_transactions(_stg_transactions(spark, folder), AS_OF, WHOLE_PERIOD, SHOWN_TYPES)
 
 
 @query
 def dashboard_transactions(spark, folder):
-    return _shown(spark, folder, 365)
+    return dashboard.dashboard_transactions(_stg_transactions(spark, folder), AS_OF, 365, SHOWN_TYPES)
 
 
 @query
 def volume_by_type(spark, folder):
-    return dashboard.volume_by_type(_shown(spark, folder))
+    return dashboard.volume_by_type(_chosen(spark, folder))
 
 
 @query
 def daily_trends(spark, folder):
-    return dashboard.daily_trends(_shown(spark, folder))
+    return dashboard.daily_trends(_chosen(spark, folder))
 
 
 @query
 def recent_transactions(spark, folder):
-    return dashboard.recent_transactions(_shown(spark, folder))
+    return dashboard.recent_transactions(_chosen(spark, folder))
 
 
 @query
 def dashboard_summary(spark, folder):
+    """Over the published mart, as a dashboard reads it."""
     stg = _staging(spark, folder)
-    return dashboard.dashboard_summary(models.customer_360(stg), stg["stg_transactions"], AS_OF)
+    path = scratch(spark, "customer-360")
+    models.customer_360(stg).write.parquet(path)
+    return dashboard.dashboard_summary(spark.read.parquet(path), stg["stg_transactions"], AS_OF)
 
 
 @query
@@ -272,7 +294,7 @@ def cdc_transaction_types(spark, folder):
 
 @query
 def cdc_top_types(spark, folder):
-    return cdc.cdc_top_types(given.cdc_landed(spark, folder), 2)
+    return cdc.cdc_top_types(given.cdc_landed(spark, folder))
 
 
 @query
@@ -501,11 +523,39 @@ def stream_type_summary(spark, folder):
 @query
 def stream_recent_activity(spark, folder):
     out = scratch(spark, "stream-recent")
-    live = changes.recent_activity(given.cdc_stream(spark, folder))
+    # one file: its windows leave out rows that come late, which unordered files would all have
+    live = changes.recent_activity(given.cdc_stream(spark, folder, 1))
     sinks.append(live, f"{out}/table", f"{out}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/table")
 
 
+@query
+def stream_last_hour(spark, folder):
+    out = scratch(spark, "stream-moments")
+    changes.keep_moments(given.cdc_stream(spark, folder), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    changes.compact_moments(spark, f"{out}/table")
+    return changes.last_hours(spark, f"{out}/table", CDC_AS_OF)
+
+
+@query
+def stream_delete_day(spark, folder):
+    """Half of the feed is stored and deleted, the rest arrives afterwards."""
+    out = scratch(spark, "stream-delete")
+    rows = given.typed_transactions(spark, folder)
+    line = F.to_json(F.struct(*rows.columns)).alias("value")
+    for part in (0, 1):
+        rows.where(F.col("transaction_id") % 2 == part).select(line).write.mode("append").text(f"{out}/feed")
+        payments.append_transactions(payments.feed(spark, f"{out}/feed"), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+        if part == 0:
+            payments.open_store(spark, f"{out}/table")
+            days = [r[0] for r in spark.read.parquet(f"{out}/table").select("ingest_date").distinct().collect()]
+            gone = sum(payments.delete_day(spark, f"{out}/table", day) for day in days)
+    left = payments.read_store(spark, f"{out}/table")
+    return left.agg(F.count("*").alias("records_left"), F.sum("transaction_id").alias("id_sum")).withColumn(
+        "records_deleted", F.lit(gone).cast("bigint")
+    )
+
+
 @query
 def stream_high_value(spark, folder):
     out = scratch(spark, "stream-high")

@@ -43,7 +43,8 @@ TX = """tx AS (
   SELECT o_orderkey AS transaction_id,
          o_custkey + CASE WHEN o_custkey % 50 = 7 THEN 1 ELSE 0 END AS customer_id,
          CAST(o_orderdate AS DATE) AS transaction_date,
-         CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 0.020 AS DECIMAL(10,2)) AS transaction_amount,
+         CASE WHEN o_orderkey % 211 <> 5 THEN
+              CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 0.020 AS DECIMAL(10,2)) END AS transaction_amount,
          CASE o_orderkey % 97 WHEN 0 THEN '  ' WHEN 1 THEN ''
               ELSE ' ' || lower(o_orderpriority) || ' ' END AS transaction_type,
          CASE WHEN o_orderstatus = 'P' THEN 'STREAMING' ELSE 'HISTORICAL' END AS data_source,
@@ -56,8 +57,8 @@ STG_TX = (
   SELECT transaction_id, customer_id, transaction_date, transaction_amount,
          upper(trim(transaction_type, ' ')) AS transaction_type, data_source,
          CAST(date_trunc('month', transaction_date) AS DATE) AS transaction_month,
-         CASE WHEN transaction_amount <= 1000 THEN 'Low'
-              WHEN transaction_amount <= 5000 THEN 'Medium' ELSE 'High' END AS amount_category,
+         CASE WHEN transaction_amount > 5000 THEN 'High'
+              WHEN transaction_amount > 1000 THEN 'Medium' ELSE 'Low' END AS amount_category,  -- unknown: Low
          ingestion_timestamp
   FROM tx)"""
 )
@@ -146,8 +147,8 @@ c360 AS (
          {mean('transaction_amount', 2, 6)} AS avg_transaction,
          MAX(transaction_date) AS last_transaction_date,
          COUNT(DISTINCT transaction_month) AS active_months,
-         ['Basic', 'Standard', 'Premium'][1 + COALESCE(CAST(SUM(transaction_amount) > 15000 AS INTEGER)
-           + CAST(SUM(transaction_amount) > 50000 AS INTEGER), 0)] AS customer_tier
+         CASE WHEN SUM(transaction_amount) > 50000 THEN 'Premium'
+              WHEN SUM(transaction_amount) > 15000 THEN 'Standard' ELSE 'Basic' END AS customer_tier  -- no spend: Basic
   FROM joined GROUP BY ALL)"""
 )
 
@@ -160,8 +161,7 @@ def shown(days: int) -> str:
         + f""", shown AS (
   SELECT transaction_id, customer_id, transaction_type, transaction_amount AS amount, transaction_date,
          data_source AS description
-  FROM stx WHERE transaction_date >= DATE '2001-08-01' - {days} AND transaction_type IN {SHOWN_TYPES}
-  ORDER BY transaction_date DESC, transaction_id DESC LIMIT 10000)"""
+  FROM stx WHERE transaction_date >= DATE '2001-08-01' - {days} AND transaction_type IN {SHOWN_TYPES})"""
     )
 
 
@@ -179,7 +179,7 @@ CDC = """cdc AS (
 ev AS (
   SELECT transaction_id, cdc_action, committed, 'K' || user_id AS row_key, 'u' || (user_id % 10) AS db_user,
          CASE WHEN cdc_action <> 'DELETE' THEN user_id END AS customer_id,
-         CASE WHEN cdc_action <> 'DELETE' THEN event_type END AS transaction_type,
+         CASE WHEN cdc_action <> 'DELETE' THEN event_type || '-' || (user_id % 3) END AS transaction_type,
          CASE WHEN cdc_action <> 'DELETE' THEN CAST(cents AS DECIMAL(18,0)) END AS whole,
          CASE WHEN cdc_action <> 'DELETE' THEN cents END AS cents,
          CASE WHEN cdc_action <> 'DELETE' THEN event_day END AS transaction_date,
@@ -225,6 +225,9 @@ _LANDED = """SELECT 'landed' AS outcome, COUNT(*) AS records, CAST(SUM(event_id)
   FROM events WHERE event_id % 500 <> 3
   UNION ALL SELECT 'rejected', COUNT(*), NULL FROM events WHERE event_id % 500 = 3"""
 
+_RECENT = f"""WITH {CDC} SELECT cdc_action, COUNT(*) AS recent_transactions,
+  {mean('whole', 0, 2)} AS avg_amount FROM ev WHERE committed >= TIMESTAMP '2024-01-30 22:00:00' GROUP BY cdc_action"""
+
 SQL: dict[str, str] = {
     "load_mortgages_csv": f"""WITH {MORT} SELECT {day('week_start_date')} AS week_start_date, week, loan_id, ts,
   loan_type_name, loan_purpose_name, CAST(income_units AS DOUBLE) AS applicant_income_000s,
@@ -306,7 +309,8 @@ SQL: dict[str, str] = {
   COUNT(*) FILTER (amount_category = 'Medium') AS medium_value_count,
   COUNT(*) FILTER (amount_category = 'Low') AS low_value_count
   FROM stx GROUP BY customer_id, stx.transaction_month, transaction_type, data_source""",
-    "dashboard_transactions": f"WITH {shown(365)} SELECT {_SHOWN_COLUMNS} FROM shown",
+    "dashboard_transactions": f"""WITH {shown(365)} SELECT {_SHOWN_COLUMNS} FROM
+  (SELECT * FROM shown ORDER BY transaction_date DESC, transaction_id DESC LIMIT 10000)""",
     "volume_by_type": f"""WITH {shown(2500)} SELECT transaction_type, {as_double('SUM(amount)')} AS amount
   FROM shown GROUP BY transaction_type""",
     "daily_trends": f"""WITH {shown(2500)} SELECT {day('transaction_date')} AS transaction_date,
@@ -331,14 +335,14 @@ SQL: dict[str, str] = {
     "cdc_as_transactions": f"WITH {CDC} SELECT {_INSERT_COLUMNS} FROM ev WHERE cdc_action = 'INSERT'",
     "cdc_action_summary": _ACTIONS,
     "cdc_transaction_types": _TYPES,
-    "cdc_top_types": f"{_TYPES} ORDER BY count DESC, transaction_type LIMIT 2",
+    "cdc_top_types": f"{_TYPES} ORDER BY count DESC, transaction_type LIMIT 5",
     "cdc_total": "SELECT COUNT(*) AS total_cdc_records FROM events",
     "cdc_latest_rows": f"""WITH {CDC} SELECT {_EVENT_COLUMNS} FROM
   (SELECT * FROM ev ORDER BY transaction_id DESC LIMIT 10)""",
     "cdc_latest_inserts": f"""WITH {CDC} SELECT {_INSERT_COLUMNS} FROM
   (SELECT * FROM ev WHERE cdc_action = 'INSERT' ORDER BY transaction_id DESC LIMIT 10)""",
-    "cdc_recent_activity": f"""WITH {CDC} SELECT cdc_action, COUNT(*) AS recent_transactions,
-  {mean('whole', 0, 2)} AS avg_amount FROM ev WHERE committed >= TIMESTAMP '2024-01-30 22:00:00' GROUP BY cdc_action""",
+    "cdc_recent_activity": _RECENT,
+    "stream_last_hour": _RECENT,
     "high_value_cdc": _HIGH_VALUE,
     "method_comparison": f"""WITH {CDC}, {TX}
   SELECT 'CDC_STREAM' AS method, COUNT(*) AS count, data_source FROM ev WHERE cdc_action = 'INSERT' GROUP BY data_source
@@ -417,9 +421,12 @@ SQL: dict[str, str] = {
   SELECT transaction_type, COALESCE(n, 0) AS transaction_count, expected_percent,
     {percent('COALESCE(n, 0)', '(SELECT COUNT(*) FROM typed)', 4)} AS actual_percent
   FROM seen FULL JOIN rules USING (transaction_type)""",
-    "daily_volume_check": f"""WITH {TX}, per_day AS (
-  SELECT transaction_date, COUNT(*) AS transaction_count, isodow(transaction_date) > 5 AS is_weekend
-  FROM tx GROUP BY transaction_date),
+    "daily_volume_check": f"""WITH {TX}, days AS (
+  SELECT CAST(unnest(generate_series(MIN(transaction_date), MAX(transaction_date), INTERVAL 1 DAY)) AS DATE) AS transaction_date
+  FROM tx UNION SELECT transaction_date FROM tx),
+  per_day AS (
+  SELECT days.transaction_date, COUNT(tx.transaction_id) AS transaction_count, isodow(days.transaction_date) > 5 AS is_weekend
+  FROM days LEFT JOIN tx ON days.transaction_date IS NOT DISTINCT FROM tx.transaction_date GROUP BY days.transaction_date),
   bands AS (SELECT *, CASE WHEN is_weekend THEN 2 ELSE 3 END AS expected_low,
     CASE WHEN is_weekend THEN 9 ELSE 14 END AS expected_high FROM per_day)
   SELECT * REPLACE ({day('transaction_date')} AS transaction_date),
@@ -447,6 +454,10 @@ SQL: dict[str, str] = {
   SELECT {moment('window_start')} AS window_start, {moment('window_start + INTERVAL 1 HOUR')} AS window_end,
     cdc_action, recent_transactions, avg_amount FROM summed
   WHERE summed.window_start + INTERVAL 1 HOUR <= (SELECT MAX(committed) FROM ev) - INTERVAL 10 MINUTE""",
+    "stream_delete_day": f"""WITH {TYPED} SELECT COUNT(*) FILTER (transaction_id % 2 = 1) AS records_left,
+  CAST(SUM(transaction_id) FILTER (transaction_id % 2 = 1) AS BIGINT) AS id_sum,
+  COUNT(*) FILTER (transaction_id % 2 = 0) AS records_deleted FROM typed""",
     "stream_high_value": _HIGH_VALUE,
     "stream_current_state": _STATE,
 }
+SQL |= {"published_customer_360": SQL["customer_360"], "published_transaction_summary": SQL["transaction_summary"]}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -38,17 +37,24 @@ def pin_utc(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    A local session without that setting (tests) gets a folder of its own; a cluster
-    without it is refused, because a machine-local folder would lose data there.
+    A session without that setting is refused: a machine-local folder would lose data on a cluster.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="ledgermill-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return shared_folder(spark)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
+    return folder.rstrip("/")
+
+
+def name_folder(spark: SparkSession, folder: str) -> None:
+    """For entry points and tests: the folder to use where the session names none."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own making, in whatever store it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -8,44 +8,43 @@ from ledgermill import schemas
 from ledgermill.functions import envelope as env
 
 
-FEW_PIECES = 16  # about 2 GB at Spark's default piece size
+def as_text(schema: T.StructType) -> T.StructType:
+    """The same fields as text, so that numbers and quoted numbers load alike."""
+    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+
 
+def cast_to(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal out input that comes in few pieces over all cores; leave other input alone.
 
-    One compressed file or one row group cannot be split, and all work per row would stay in
-    one task. Filters and column choices still reach the scan. Nothing is read to decide.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    pieces = rows.rdd.getNumPartitions()
-    return rows.repartition(cores) if pieces < min(cores, FEW_PIECES) else rows
+def _must_fit(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Stop at a row with a value that does not fit, whichever columns are read, also without ANSI."""
+    checks = [
+        F.when(
+            F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+            F.raise_error(F.concat(F.lit(f"{f.name} does not fit: "), F.col(f.name))).cast("boolean"),
+        ).otherwise(True)
+        for f in schema.fields
+    ]
+    return rows.where(F.array_min(F.array(*checks)))
 
 
 def load_mortgages_csv(spark: SparkSession, path: str) -> DataFrame:
     """Comma-separated mortgages: one header line, then ten columns taken by position."""
-    return (
-        spark.read.schema(schemas.MORTGAGE_FILE)
+    raw = (
+        spark.read.schema(as_text(schemas.MORTGAGE_FILE))
         .option("header", True)
         .option("enforceSchema", True)
         .option("mode", "FAILFAST")
         .csv(path)
-        .withColumn("created_at", F.current_timestamp())
     )
-
-
-def as_text(schema: T.StructType) -> T.StructType:
-    """The same fields as text, so that numbers and quoted numbers load alike."""
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-
-
-def cast_to(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    loaded = cast_to(_must_fit(raw, schemas.MORTGAGE_FILE), schemas.MORTGAGE_FILE)
+    return loaded.withColumn("created_at", F.current_timestamp())
 
 
 def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     raw = spark.read.schema(as_text(schema)).option("mode", "FAILFAST").json(path)
-    return cast_to(raw, schema)
+    return cast_to(_must_fit(raw, schema), schema)
 
 
 def load_transactions_json(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """The given order, part, customer and event tables in the shapes of the raw layer.
 
-Every row of a given table becomes one row. The matching SQL is in ``plans/checks.py``.
+Every row of a given table becomes one row. The matching SQL is in ``plans/checks_sql.py``.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ledgermill.functions import envelope as env, fixed
 from ledgermill.operators import cdc
 from ledgermill.plans.models import Raw
-from ledgermill.sources import files
+from ledgermill.session import scratch
 
 
 # declared, so that no query starts by opening files to learn their columns
@@ -32,7 +32,7 @@ def _scaled(column: str, factor: str, kind: str = "decimal(10,2)") -> Column:
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as transactions; every fiftieth customer's go to the next customer."""
+    """Orders as transactions, some without an amount; every fiftieth customer's go to the next customer."""
     customer, order = F.col("o_custkey"), F.col("o_orderkey")
     placed = F.col("o_orderdate").cast("timestamp")
     priority = F.concat(F.lit(" "), F.lower("o_orderpriority"), F.lit(" "))
@@ -40,7 +40,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
         order.alias("transaction_id"),
         F.when(customer % 50 == 7, customer + 1).otherwise(customer).alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
-        _scaled("o_totalprice", "0.020").alias("transaction_amount"),
+        F.when(order % 211 != 5, _scaled("o_totalprice", "0.020")).alias("transaction_amount"),
         F.when(order % 97 == 0, "  ").when(order % 97 == 1, "").otherwise(priority).alias("transaction_type"),
         F.when(F.col("o_orderstatus") == "P", "STREAMING").otherwise("HISTORICAL").alias("data_source"),
         placed.alias("ingestion_timestamp"),
@@ -141,7 +141,7 @@ def _event_fields(events: DataFrame) -> DataFrame:
         F.col("user_id"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("committed_at"),
         F.when(kind == "click", "UPDATE").when(kind == "error", "DELETE").otherwise("INSERT").alias("action"),
-        kind.alias("transaction_type"),
+        F.concat(kind, F.lit("-"), (F.col("user_id") % 3).cast("string")).alias("transaction_type"),
         F.col("ts").cast("date").alias("transaction_date"),
         (F.col("value").cast("decimal(10,2)") * F.lit("37.5").cast("decimal(3,1)")).cast("decimal(10,2)").alias("transaction_amount"),
     )
@@ -199,16 +199,14 @@ IMAGE_TYPE = T.StructType(
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return files.spread(table(spark, folder, "events"))
+    return table(spark, folder, "events")
 
 
-def events_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events file as a stream."""
-    return (
-        spark.readStream.schema(COLUMNS["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-    )
+def events_stream(spark: SparkSession, folder: str, n_files: int) -> DataFrame:
+    """The events as a stream of files, each a micro-batch."""
+    path = scratch(spark, "event-files")
+    events(spark, folder).repartition(n_files).write.parquet(path)
+    return spark.readStream.schema(COLUMNS["events"]).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _records(events: DataFrame, steady: bool = False) -> DataFrame:
@@ -226,16 +224,25 @@ def cdc_landed(spark: SparkSession, folder: str, steady: bool = False) -> DataFr
     return _records(events(spark, folder), steady)
 
 
-def cdc_stream(spark: SparkSession, folder: str) -> DataFrame:
+def cdc_stream(spark: SparkSession, folder: str, n_files: int = 3) -> DataFrame:
     """The landing table as a live stream."""
-    return _records(events_stream(spark, folder))
+    return _records(events_stream(spark, folder, n_files))
 
 
 def feed_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Envelope lines of which some are cut short, so that they are no JSON."""
+    """Envelope lines of which some are cut short, so that they are no JSON, and some have no usable commit time."""
     lines = envelope_lines(events(spark, folder))
     event_id = F.get_json_object("value", "$.transaction.transaction_id").cast("bigint")
-    return lines.select(F.when(event_id % 500 == 3, F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value"))
+    committed_at = lambda text: F.regexp_replace("value", '"committed_at":[0-9]+', text)
+    return lines.select(
+        F.when(event_id % 500 == 3, F.substring("value", 1, 40))
+        .when(event_id % 500 == 7, committed_at('"committed_at":9000000000000000000'))
+        .when(event_id % 500 == 11, committed_at('"committed_at":-9000000000000000000'))
+        .when(event_id % 500 == 13, committed_at('"committed_at":"soon"'))
+        .when(event_id % 500 == 17, committed_at('"other":1'))
+        .otherwise(F.col("value"))
+        .alias("value")
+    )
 
 
 def ingested(spark: SparkSession, folder: str) -> DataFrame:

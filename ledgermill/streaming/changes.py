@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,7 +19,9 @@ def land(
 ) -> list[StreamingQuery]:
     """Append every JSON line to the landing table and every other line to ``rejects``.
 
-    The landing table is stored by commit day, so that monitoring reads recent days only. Two queries with a checkpoint each: both outputs get each of their lines exactly once.
+    The landing table is stored by commit day, so that monitoring reads recent days only; a
+    record whose commit time cannot be one has no day and is kept apart under that. Two queries
+    with a checkpoint each, and so two parses: both outputs get each of their lines exactly once.
     """
     return [
         sinks.append(
@@ -107,7 +111,7 @@ def keep_partial_sums(
     return sinks.each_batch(landed, partial_sums, path, checkpoint, trigger)
 
 
-def compact_sums(spark: SparkSession, path: str) -> int | None:
+def compact_sums(spark: SparkSession, path: str) -> dict[str, int] | None:
     return sinks.compact(sinks.read_log(spark, path, PARTIAL_COLUMNS), path, merge_sums)
 
 
@@ -140,6 +144,52 @@ def type_summary(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+MOMENT_KEY = ["cdc_action", "committed_timestamp"]
+MOMENT_COLUMNS = "cdc_action string, committed_timestamp timestamp, events bigint, amounts bigint, total decimal(38,0)"
+
+
+def moment_sums(landed: DataFrame) -> DataFrame:
+    """Events and amounts per action and moment of commit: a row for each millisecond at most."""
+    amount = F.col("transaction_amount")
+    return (
+        cdc.cdc_transactions(landed, lenient=True)
+        .groupBy(*MOMENT_KEY)
+        .agg(F.count("*").alias("events"), F.count(amount).alias("amounts"), F.sum(amount).alias("total"))
+    )
+
+
+def merge_moments(sums: DataFrame) -> DataFrame:
+    return sums.groupBy(*MOMENT_KEY).agg(
+        F.sum("events").alias("events"), F.sum("amounts").alias("amounts"), F.sum("total").alias("total")
+    )
+
+
+def keep_moments(landed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append each micro-batch's sums per moment, for ``last_hours``. No event is too late to count."""
+    return sinks.each_batch(landed, moment_sums, path, checkpoint, trigger)
+
+
+def compact_moments(spark: SparkSession, path: str, since: dt.datetime | None = None) -> dict[str, int] | None:
+    """Fold the finished batches; moments before ``since`` are given up if it is named."""
+
+    def fold(sums: DataFrame) -> DataFrame:
+        kept = sums if since is None else sums.where(F.col("committed_timestamp") >= cdc.moment(since))
+        return merge_moments(kept)
+
+    return sinks.compact(sinks.read_log(spark, path, MOMENT_COLUMNS), path, fold)
+
+
+def last_hours(spark: SparkSession, path: str, as_of: dt.datetime, hours: int = 1) -> DataFrame:
+    """Events per action of the last ``hours`` up to now, as ``cdc.cdc_recent_activity`` counts them."""
+    since = cdc.moment(as_of) - F.make_dt_interval(hours=F.lit(hours))
+    return (
+        sinks.in_force(sinks.read_log(spark, path, MOMENT_COLUMNS))
+        .where(F.col("committed_timestamp") >= since)
+        .groupBy("cdc_action")
+        .agg(F.sum("events").alias("recent_transactions"), money.mean(F.sum("total"), F.sum("amounts")).alias("avg_amount"))
+    )
+
+
 def keep_versions(
     landed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -155,7 +205,7 @@ def keep_versions(
     return sinks.each_batch(landed, last_versions, path, checkpoint, trigger)
 
 
-def compact_versions(spark: SparkSession, path: str) -> int | None:
+def compact_versions(spark: SparkSession, path: str) -> dict[str, int] | None:
     return sinks.compact(sinks.read_log(spark, path, VERSION_COLUMNS), path, cdc.fold)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 from operator import and_
 
@@ -54,44 +55,46 @@ def append_transactions(
     return sinks.append(rows, path, checkpoint, trigger, STORE_LAYOUT)
 
 
-DELETED_COLUMNS = "day date, deleted_at timestamp"
+DELETED_COLUMNS = "day date, file string, deletion string"
 
 
-def _deleted_days(spark: SparkSession, path: str) -> DataFrame:
+def _deleted_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DELETED_COLUMNS).parquet(f"{path}-deleted")
 
 
 def open_store(spark: SparkSession, path: str) -> None:
-    """Prepare the list of deleted days beside a live store; an existing one is kept."""
+    """Prepare the list of deleted files beside a live store; an existing one is kept."""
     spark.createDataFrame([], DELETED_COLUMNS).write.mode("append").parquet(f"{path}-deleted")
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """The live rows that have not been deleted.
+def _with_file(spark: SparkSession, path: str) -> DataFrame:
+    """Committed rows, as the live query's own log lists their files."""
+    return spark.read.parquet(path).withColumn("__file", F.col("_metadata.file_path"))
 
-    There is at most one row per deleted day to match, so that side is broadcast.
-    """
-    rows = spark.read.parquet(path)
-    deleted = _deleted_days(spark, path).groupBy("day").agg(F.max("deleted_at").alias("deleted_at"))
-    gone = (F.col("ingest_date") == F.col("day")) & (F.col("ingestion_timestamp") <= F.col("deleted_at"))
-    return rows.join(F.broadcast(deleted), gone, "left_anti")
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The live rows that have not been deleted."""
+    rows = _with_file(spark, path)
+    deleted = _deleted_files(spark, path).select(F.col("day").alias("ingest_date"), F.col("file").alias("__file")).distinct()
+    return rows.join(deleted, ["ingest_date", "__file"], "left_anti").drop("__file").select(*spark.read.parquet(path).columns)
 
 
 def delete_day(spark: SparkSession, path: str, day: dt.date | None = None) -> int:
     """Delete what has been streamed on one day (today unless named); returns the row count.
 
     The store belongs to the live query, whose own log lists its files, so no file is
-    touched: the deletion is written down, and readers leave out rows that were there by
-    then. Rows that arrive later stay, as after any DELETE.
+    touched: the day's committed files are written down, and readers leave them out. A
+    micro-batch that commits later, also one that is under way, brings files of its own; its
+    rows stay, as after any DELETE. The count is that of the files written down.
     """
-    today, now = spark.sql("SELECT current_date(), current_timestamp()").first()
-    day = day or today
-    gone = read_store(spark, path).where(F.col("ingest_date") == F.lit(day)).where(
-        F.col("ingestion_timestamp") <= F.lit(now)
-    )
-    number = gone.count()
-    spark.createDataFrame([(day, now)], DELETED_COLUMNS).write.mode("append").parquet(f"{path}-deleted")
-    return number
+    day = day or spark.sql("SELECT current_date()").first()[0]
+    deletion = uuid.uuid4().hex
+    rows = _with_file(spark, path).where(F.col("ingest_date") == F.lit(day))
+    known = _deleted_files(spark, path).select("day", "file")
+    files = rows.select(F.col("ingest_date").alias("day"), F.col("__file").alias("file")).distinct().join(known, ["day", "file"], "left_anti")
+    files.withColumn("deletion", F.lit(deletion)).write.mode("append").parquet(f"{path}-deleted")
+    own = _deleted_files(spark, path).where(F.col("deletion") == deletion).select(F.col("file").alias("__file"))
+    return rows.join(own, "__file", "left_semi").count()
 
 
 def counters(lines: DataFrame) -> DataFrame:
@@ -118,14 +121,19 @@ def with_rates(totals: DataFrame) -> DataFrame:
 def keep_counters(
     lines: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Write the running totals after every micro-batch."""
+    """Write the running totals after every micro-batch, in place of those of two batches before.
+
+    Of each query two partitions remain, so a reader that has listed one still finds it.
+    """
     return sinks.each_batch(
-        counters(lines), with_rates, path, checkpoint, trigger, output_mode="complete", level="totals"
+        counters(lines), with_rates, path, checkpoint, trigger, output_mode="complete", level="totals", kept=2
     )
 
 
 def latest_counters(spark: SparkSession, path: str) -> DataFrame:
-    """The totals after the last micro-batch."""
+    """The totals after the last micro-batch; of several queries that wrote here, those of all together."""
     kept = spark.read.parquet(path)
-    last = kept.agg(F.max("batch").alias("last")).scalar()
-    return kept.where(F.col("batch") == last).drop("level", "batch")
+    last = kept.groupBy("query").agg(F.max("batch").alias("batch"))
+    names = ["total_transactions", "successful_sends", "failed_sends", "anomalies"]
+    totals = kept.join(last, ["query", "batch"]).agg(*[F.sum(c).alias(c) for c in names])
+    return with_rates(totals.where("total_transactions IS NOT NULL"))

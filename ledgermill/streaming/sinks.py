@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgermill.session import remove
+
 # read what is there, then stop; pass {"processingTime": "10 seconds"} to keep running
 ONCE = {"availableNow": True}
 
@@ -30,6 +33,9 @@ def append(
     return writer.trigger(**(trigger or ONCE)).start()
 
 
+LAYOUT = ("level", "query", "batch")
+
+
 def write_batch(rows: DataFrame, path: str, *layout: str) -> None:
     """Write rows to their partitions, replacing only those; a repeated write changes nothing."""
     (
@@ -40,6 +46,10 @@ def write_batch(rows: DataFrame, path: str, *layout: str) -> None:
     )
 
 
+def _place(level: str, query: str, batch: int) -> dict:
+    return {"level": F.lit(level), "query": F.lit(query), "batch": F.lit(batch).cast("bigint")}
+
+
 def each_batch(
     rows: DataFrame,
     condense: Callable[[DataFrame], DataFrame],
@@ -48,54 +58,102 @@ def each_batch(
     trigger: dict | None = None,
     output_mode: str = "append",
     level: str = "changes",
+    kept: int | None = None,
 ) -> StreamingQuery:
     """Condense every micro-batch and keep it as its own partition of the table at ``path``.
 
-    The batch number names the partition, so a batch that is run again after a failure
-    replaces its own rows and nothing is counted twice.
+    The query's id, which lives in its checkpoint, and the batch number name the partition. A
+    batch that is run again after a failure replaces its own rows; a query that starts anew
+    with another checkpoint adds to what is there and replaces nothing. With ``kept``, only
+    that many of the query's last batches remain.
     """
+    known, started = [], threading.Event()
 
     def keep(batch: DataFrame, number: int) -> None:
-        tagged = condense(batch).withColumns({"level": F.lit(level), "batch": F.lit(number).cast("bigint")})
-        write_batch(tagged, path, "level", "batch")
+        started.wait()
+        write_batch(condense(batch).withColumns(_place(level, known[0], number)), path, *LAYOUT)
+        if kept and number >= kept:
+            remove(batch.sparkSession, f"{path}/level={level}/query={known[0]}/batch={number - kept}")
 
-    return (
+    query = (
         rows.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(keep)
         .trigger(**(trigger or ONCE))
         .start()
     )
+    known.append(query.id)
+    started.set()
+    return query
 
 
 def read_log(spark: SparkSession, path: str, columns: str) -> DataFrame:
     """All partitions kept at ``path``; no rows yet is fine."""
-    return spark.read.schema(f"{columns}, level string, batch bigint").parquet(path)
+    return spark.read.schema(f"{columns}, level string, query string, batch bigint").parquet(path)
+
+
+def _partitions(log: DataFrame, level: str) -> list[tuple[str, int]]:
+    """(query, batch) of the partitions of one level; only their names are read."""
+    return [tuple(r) for r in log.where(F.col("level") == level).select("query", "batch").distinct().collect()]
+
+
+def _last_snapshot(log: DataFrame) -> tuple[int, dict[str, int]]:
+    """Number of the last snapshot (-1: none) and the last batch of each query that it covers.
+
+    What a snapshot covers is part of its partition's name, so both appear at one moment.
+    """
+    covers, number = max(_partitions(log, "snapshot"), key=lambda x: x[1], default=("", -1))
+    return number, {q: int(n) for q, n in (x.split("~") for x in covers.split(",") if x)}
+
+
+def _changes_after(covered: dict[str, int]) -> Column:
+    """Batches of a query that the snapshot does not hold; there are as many terms as queries ever wrote."""
+    later = F.col("level") == "changes"
+    for query, batch in covered.items():
+        later = later & ((F.col("query") != query) | (F.col("batch") > batch))
+    return later
 
 
 def in_force(log: DataFrame) -> DataFrame:
     """The last snapshot and the changes after it; other partitions are not read."""
-    snapshot = log.where(F.col("level") == "snapshot").agg(F.max("batch").alias("last")).scalar()
-    snapshot = F.coalesce(snapshot, F.lit(-1))
-    return log.where(
-        ((F.col("level") == "snapshot") & (F.col("batch") == snapshot))
-        | ((F.col("level") == "changes") & (F.col("batch") > snapshot))
-    ).drop("level", "batch")
+    number, covered = _last_snapshot(log)
+    snapshot = (F.col("level") == "snapshot") & (F.col("batch") == number)
+    return log.where(snapshot | _changes_after(covered)).drop(*LAYOUT)
 
 
-def compact(log: DataFrame, path: str, condense: Callable[[DataFrame], DataFrame]) -> int | None:
-    """Condense everything so far into one snapshot, which later reads start from.
+def compact(log: DataFrame, path: str, condense: Callable[[DataFrame], DataFrame]) -> dict[str, int] | None:
+    """Condense all finished batches into one snapshot, which later reads start from.
 
-    Returns the number of the last micro-batch it covers, if any. May run beside the stream:
-    the files are listed once, so batches that come later are read on top of the snapshot.
+    Returns the last batch of each query that it covers, if any. A query starts a batch only
+    when the one before is committed, so all but its newest are finished and fully listed; the
+    newest stays as it is. May run beside the stream. What the snapshot before this one covered
+    is deleted: readers that started from older files have had the time between two
+    compactions, so the number of folders stays that of the batches of two such intervals.
     """
-    newest = log.groupBy("level").agg(F.max("batch").alias("last")).collect()
-    last = {row["level"]: row["last"] for row in newest}
-    covered = last.get("changes")
-    if covered is not None and covered != last.get("snapshot"):
-        tags = {"level": F.lit("snapshot"), "batch": F.lit(covered).cast("bigint")}
-        write_batch(condense(in_force(log)).withColumns(tags), path, "level", "batch")
-    return covered
+    spark = log.sparkSession
+    number, covered = _last_snapshot(log)
+    changes = _partitions(log, "changes")
+    newest: dict[str, int] = {}
+    for query, batch in changes:
+        newest[query] = max(batch, newest.get(query, batch))
+    finished = dict(covered)
+    for query, batch in changes:
+        if batch < newest[query]:
+            finished[query] = max(batch, finished.get(query, -1))
+    if finished == covered:
+        return covered or None
+    done = (F.col("level") == "snapshot") & (F.col("batch") == number)
+    for query, last in finished.items():
+        done = done | ((F.col("level") == "changes") & (F.col("query") == query) & (F.col("batch") > covered.get(query, -1)) & (F.col("batch") <= last))
+    name = ",".join(f"{q}~{n}" for q, n in sorted(finished.items()))
+    write_batch(condense(log.where(done).drop(*LAYOUT)).withColumns(_place("snapshot", name, number + 1)), path, *LAYOUT)
+    for query, batch in changes:
+        if batch <= covered.get(query, -1):
+            remove(spark, f"{path}/level=changes/query={query}/batch={batch}")
+    for old, batch in _partitions(log, "snapshot"):
+        if batch < number:
+            remove(spark, f"{path}/level=snapshot/query={old}")
+    return finished
 
 
 def rows_read(query: StreamingQuery) -> int:

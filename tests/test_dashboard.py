@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import frames as t
 from ledgermill.operators import dashboard, staging
+from ledgermill.operators.ordering import newest
 
 AS_OF = dt.date(2024, 5, 31)
 
@@ -36,12 +37,22 @@ def test_no_type_no_rows(spark):
     assert dashboard.volume_by_type(shown).count() == 0
 
 
-def test_charts_see_only_the_newest_rows(spark):
+def test_charts_see_the_whole_selection_and_listings_their_rows(spark):
+    chosen = dashboard.chosen_transactions(_staged(spark), AS_OF, 365, ["leisure", "education"])
+    assert t.rows(dashboard.volume_by_type(chosen)) == [("EDUCATION", Decimal("80.00")), ("LEISURE", Decimal("55.00"))]
+    assert t.rows(dashboard.daily_trends(chosen), "amount", "transaction_count") == [
+        (Decimal("10.00"), 1), (Decimal("40.00"), 1), (Decimal("85.00"), 2)]
+    assert [r.transaction_id for r in dashboard.recent_transactions(chosen, 2).collect()] == [1, 5]
     shown = dashboard.dashboard_transactions(_staged(spark), AS_OF, 365, ["leisure", "education"], rows=3)
-    assert t.rows(dashboard.volume_by_type(shown)) == [("EDUCATION", Decimal("80.00")), ("LEISURE", Decimal("15.00"))]
-    assert t.rows(dashboard.daily_trends(shown), "amount", "transaction_count") == [
-        (Decimal("10.00"), 1), (Decimal("85.00"), 2)]
-    assert [r.transaction_id for r in dashboard.recent_transactions(shown, 2).collect()] == [1, 5]
+    assert [r.transaction_id for r in shown.collect()] == [1, 5, 4]
+
+
+def test_newest_rows_out_of_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 4000, 1, 23).select("id", F.date_add(F.lit(AS_OF), (-(F.col("id") * 7919 % 3)).cast("int")).alias("day"))
+    found = [r.id for r in newest(rows, "day", 50, [F.col("id").desc()]).collect()]
+    assert found == sorted((i for i in range(4000) if i * 7919 % 3 == 0), reverse=True)[:50]
 
 
 def test_summary(spark):

@@ -144,3 +144,27 @@ def test_stream_over_stored_records(spark, tmp_path):
     changes.keep_versions(live, state, str(tmp_path / "checkpoint")).awaitTermination()
     changes.compact_versions(spark, state)
     assert t.rows(changes.current_state(spark, state), "row_key", "transaction_amount") == [("A", Decimal("1.00"))]
+
+
+def test_loads_stop_at_a_bad_row_whatever_is_read(spark, tmp_path):
+    import pytest
+    from ledgermill.sources import files
+
+    header = "a,b,c,d,e,f,g,h,i,j"
+    good = "2024-01-01,1,L1,t,FHA,buy,10.5,20.5,York,1"
+    (tmp_path / "m.csv").write_text("\n".join([header, good, good.replace("20.5", "much")]) + "\n")
+    (tmp_path / "t.json").write_text('{"transaction_id": 1, "customer_id": 2}\n{"transaction_id": 3, "customer_id": "x"}\n')
+    (tmp_path / "c.json").write_text('{"customer_id": 1, "first_name": "a"}\n{"customer_id": "one"}\n')
+    loads = [files.load_mortgages_csv(spark, str(tmp_path / "m.csv")), files.load_transactions_json(spark, str(tmp_path / "t.json")),
+             files.load_customers_json(spark, str(tmp_path / "c.json"))]
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            for load, column in zip(loads, ("loan_id", "transaction_id", "first_name"), strict=True):
+                for read in (load, load.select(column)):
+                    with pytest.raises(Exception):
+                        read.collect()
+                with pytest.raises(Exception):
+                    load.count()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

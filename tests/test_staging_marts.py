@@ -163,3 +163,25 @@ def test_bucketed_profile_joins_without_shuffling_it(spark):
     with contextlib.redirect_stdout(text):
         spark.table(published["customer_360"]).groupBy("customer_id").count().explain()
     assert "Exchange" not in text.getvalue()
+
+
+def test_means_and_shares_are_exact_at_any_count(spark):
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+    from ledgermill.functions import money
+    from pyspark.sql import functions as F
+
+    cases = [
+        (Decimal(total), rows)
+        for rows in (1, 3, 10**12, 10**15, 2**62)
+        for total in ("0", "0.01", "-0.05", "10.005".replace("5", ""), str(10**25), str(-(10**25) - 1), str(rows // 2), str(rows * 7 + rows // 2))
+    ]
+    df = spark.createDataFrame([(t, n) for t, n in cases], "total decimal(38,2), n long")
+    out = df.select("total", "n", money.mean(F.col("total"), F.col("n")).alias("mean"), money.percent(F.col("n"), F.lit(2**62), 4).alias("share"))
+    with localcontext() as context:
+        context.prec = 80
+        for row in out.collect():
+            assert row["mean"] == (row.total / row.n).quantize(Decimal("0.01"), ROUND_HALF_UP), row
+            assert row.share == (Decimal(100) * row.n / 2**62).quantize(Decimal("0.0001"), ROUND_HALF_UP)
+    none = spark.createDataFrame([(Decimal(10) ** 30, 1), (Decimal(1), 0), (None, 1)], "total decimal(38,2), n long")
+    assert [r.m for r in none.select(money.mean(F.col("total"), F.col("n")).alias("m")).collect()] == [None, None, None]

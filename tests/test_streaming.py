@@ -112,8 +112,8 @@ def test_batch_written_again_counts_once(spark, tmp_path):
     from pyspark.sql import functions as F
 
     for _ in range(2):
-        sinks.write_batch(batch.withColumns({"level": F.lit("changes"), "batch": F.lit(0)}), table, "level", "batch")
-    sinks.write_batch(batch.withColumns({"level": F.lit("changes"), "batch": F.lit(1)}), table, "level", "batch")
+        sinks.write_batch(batch.withColumns({"level": F.lit("changes"), "query": F.lit("q"), "batch": F.lit(0)}), table, *sinks.LAYOUT)
+    sinks.write_batch(batch.withColumns({"level": F.lit("changes"), "query": F.lit("q"), "batch": F.lit(1)}), table, *sinks.LAYOUT)
     assert t.one(changes.action_summary(spark, table)).transaction_count == 2
 
 
@@ -183,3 +183,81 @@ def test_one_bad_value_does_not_stop_a_live_query(spark, tmp_path):
     assert t.rows(spark.read.parquet(table), "transaction_id") == [(2,)]
     with pytest.raises(Exception):
         cdc.cdc_transactions(t.landed(spark, bad)).collect()
+
+
+def test_a_new_checkpoint_adds_to_the_table(spark, tmp_path):
+    table = str(tmp_path / "sums")
+    for n in (1, 2):
+        _feed(tmp_path / f"in{n}", "0.json", t.envelope(n, "INSERT", after=t.image("1.00")))
+        lines = payments.feed(spark, str(tmp_path / f"in{n}"), files_per_batch=1)
+        changes.keep_partial_sums(files.landed(lines), table, str(tmp_path / f"checkpoint{n}")).awaitTermination()
+        changes.compact_sums(spark, table)
+        assert t.one(changes.action_summary(spark, table)).transaction_count == n
+
+
+def test_folders_stay_bounded_over_compactions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    table, total = str(tmp_path / "sums"), 0
+    batch = changes.partial_sums(t.landed(spark, t.envelope(1, "INSERT", after=t.image("1.00"))))
+    for number in range(12):
+        for query in ("a", "b"):
+            place = {"level": F.lit("changes"), "query": F.lit(query), "batch": F.lit(number).cast("bigint")}
+            sinks.write_batch(batch.withColumns(place), table, *sinks.LAYOUT)
+            total += 1
+        covered = changes.compact_sums(spark, table)
+        assert covered == ({"a": number - 1, "b": number - 1} if number else None)
+        assert t.one(changes.action_summary(spark, table)).transaction_count == total
+    assert len(list((tmp_path / "sums").glob("level=*/query=*/batch=*"))) <= 8
+
+
+def test_a_batch_under_way_survives_a_deletion(spark, tmp_path):
+    """Rows stamped before the deletion whose micro-batch commits after it stay."""
+    table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    _feed(tmp_path / "in", "0.json", _payment(1))
+    payments.append_transactions(payments.feed(spark, str(tmp_path / "in")), table, checkpoint).awaitTermination()
+    payments.open_store(spark, table)
+    before = spark.read.parquet(table).first()
+    assert payments.delete_day(spark, table) == 1
+    late = spark.createDataFrame([before]).drop("transaction_id").selectExpr("7 AS transaction_id", "*")
+    _feed(tmp_path / "in", "1.json", _payment(7))
+    lines = payments.feed(spark, str(tmp_path / "in"))
+    rows = payments.with_ingest_date(payments.stored_rows(lines).withColumn("ingestion_timestamp", payments.F.lit(late.first().ingestion_timestamp)))
+    sinks.append(rows, table, checkpoint, None, payments.STORE_LAYOUT).awaitTermination()
+    assert t.rows(payments.read_store(spark, table), "transaction_id") == [(7,)]
+
+
+ODD_TIMES = [9 * 10**18, -(9 * 10**18), "soon", None]
+
+
+def test_impossible_commit_times_stop_no_live_query(spark, tmp_path):
+    lines = [t.envelope(10 + n, "INSERT", f"K{n}", at, after=t.image("20000.00")) for n, at in enumerate(ODD_TIMES)]
+    lines += [t.envelope(20, "UPDATE", "K0", T0, after=t.image("30000.00"))]
+    _feed(tmp_path / "in", "0.json", *lines)
+    landed, rejects, _ = _land(spark, tmp_path)
+    assert spark.read.parquet(landed).count() == 5 and spark.read.parquet(rejects).count() == 0
+    assert spark.read.parquet(landed).where("commit_date IS NULL").count() == 4
+    out = {name: str(tmp_path / name) for name in ("high", "recent", "state", "moments")}
+    for live, name in ((changes.high_value, "high"), (changes.recent_activity, "recent")):
+        sinks.append(live(_stream(spark, tmp_path)), out[name], str(tmp_path / f"{name}-c")).awaitTermination()
+    for keep, name in ((changes.keep_versions, "state"), (changes.keep_moments, "moments")):
+        keep(_stream(spark, tmp_path), out[name], str(tmp_path / f"{name}-c")).awaitTermination()
+    assert spark.read.parquet(out["high"]).count() == 5
+    state = changes.current_state(spark, out["state"])
+    assert t.rows(state, "row_key", "transaction_amount") == [
+        ("K0", Decimal("30000.00")), *[(f"K{n}", Decimal("20000.00")) for n in (1, 2, 3)]]
+    recent = changes.last_hours(spark, out["moments"], dt.datetime.fromtimestamp(T0 / 1000, dt.timezone.utc))
+    assert t.rows(recent) == [("UPDATE", 1, Decimal("30000.00"))]
+
+
+def test_last_hour_counts_late_events(spark, tmp_path):
+    as_of = dt.datetime.fromtimestamp(T0 / 1000, dt.timezone.utc)
+    table, checkpoint, everything = str(tmp_path / "moments"), str(tmp_path / "checkpoint"), []
+    for number, minutes in enumerate([(0, 59), (60, 61), (30, 3)]):
+        lines = [t.envelope(10 * number + m, ["INSERT", "UPDATE"][m % 2], at=T0 - m * 60_000, after=t.image(f"{m}.00")) for m in minutes]
+        everything += lines
+        _feed(tmp_path / "in", f"{number}.json", *lines)
+        changes.keep_moments(_stream(spark, tmp_path), table, checkpoint).awaitTermination()
+        changes.compact_moments(spark, table)
+        batch = cdc.cdc_recent_activity(t.landed(spark, *everything), as_of)
+        assert t.rows(changes.last_hours(spark, table, as_of)) == t.rows(batch)
