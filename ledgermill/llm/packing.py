@@ -12,6 +12,7 @@ input are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -36,9 +37,16 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = f"{_PIECES}, sequence_id long, offset long, room long"
 
 
+#: letters whose lower case and composed form are one letter each, then signs: two words of the vocabulary's split
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+#: words handed to the library as one text
+JOINED = 64
+
+
 class Encoder:
     """ids of texts by the tokenizers library. White space separates words in this vocabulary, so each distinct run of
-    other characters is encoded once and remembered."""
+    other characters is encoded once and remembered. Plain words among them go to the library many at a time, since the
+    last id of each word is one that ends words."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,19 +56,44 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.known: dict[str, bytes] = {}
+        self.plain: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _bytes(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _learn(self, new: set[str]) -> None:
+        """ids of runs that are not known yet."""
+        parts = {run: found.groups() for run in new if (found := _SIMPLE.fullmatch(run))}
+        if len(self.plain) > MEMO:
+            self.plain.clear()
+        words = [w for w in {word.lower() for word, _ in parts.values()} if w not in self.plain]
+        joined = [" ".join(words[at : at + JOINED]) for at in range(0, len(words), JOINED)]
+        for some, got in zip(joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(got.ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            data = ids.tobytes()
+            self.plain.update(zip(some.split(), (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        for run, (word, signs) in parts.items():
+            if signs and signs not in self.plain:
+                self.plain[signs] = self._bytes(signs)
+            self.known[run] = self.plain[word.lower()] + (self.plain[signs] if signs else b"")
+        other = list(new - parts.keys())
+        for run, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.known[run] = np.array(got.ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # str.split cuts at these, the vocabulary does not
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._bytes(text)
         words = text.split()
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
             if len(self.known) > MEMO:
                 self.known.clear()
-            new = list({w for w in words if w not in self.known})
-            for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(got.ids, "<u4").tobytes()
+            self._learn({w for w in words if w not in self.known})
             return b"".join(map(self.known.__getitem__, words))
 
 
