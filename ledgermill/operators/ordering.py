@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgermill.session import scratch
+from ledgermill.session import remove, scratch
 
 _ROWS_PER_SLOT = 33  # monotonically_increasing_id keeps the row's place in its low 33 bits
 
@@ -21,7 +21,8 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
     copies spreads over partitions as well. It is written before it is used because a second
     evaluation may see the rows in another order; so the input, costly or not, is evaluated
     once although range partitioning reads twice, and a lost executor changes nothing. The
-    tags are written because the range bounds are sampled anew by every evaluation.
+    tags are written because the range bounds are sampled anew by every evaluation. The first
+    copy is removed once the second is there.
     """
     spark = df.sparkSession
     arrival, slot = f"__{name}_arrival", f"__{name}_slot"
@@ -36,6 +37,7 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
         .withColumn(slot, F.monotonically_increasing_id())
         .write.parquet(path)
     )
+    remove(spark, arrived)
     stored = spark.read.parquet(path)
     part = F.shiftright(slot, _ROWS_PER_SLOT).alias("__part")
     sizes = stored.groupBy(part).agg(F.count("*").alias("__rows"))
