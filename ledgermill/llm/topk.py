@@ -2,7 +2,8 @@
 
 A vector's components are dealt to NODES slices; a slice's inner product is a local score, and the score is their sum.
 Local scores are raised by the query's smallest one in that slice, so none is negative and the order stays.
-1. Every slice gives its k best local scores; the k-th best of their sums, tau1, is a safe bound for the k-th score.
+1. Every slice gives its k best local scores. The full scores of the rows they name are looked up; the k-th best of them,
+   tau1, is a safe bound for the k-th score (sums of what the slices gave would be one too, but a far lower one).
 2. The cutoff tau1 / NODES goes to all slices, which give every local score that reaches it. A row below it everywhere
    cannot be among the best.
 3. With the better bound tau2 from these sums, rows whose missing scores could still lift them to it are resolved from the
@@ -49,11 +50,13 @@ def _heads(k: int):
         own = local == np.iinfo(np.int64).min
         low = np.where(own, np.iinfo(np.int64).max, local).min(axis=1)
         ids, queries = np.asarray(left.column("vec_id")), np.asarray(right.column("query_id"))
-        order = np.lexsort((np.broadcast_to(ids, local.shape), -local.astype(float)), axis=1)[:, :k]
-        row = np.repeat(np.arange(len(queries)), order.shape[1])
-        at = order.ravel()
-        keep = ~own[row, at]
-        row, at = row[keep], at[keep]
+        width = min(k, local.shape[1])
+        kth = np.partition(local, local.shape[1] - width, axis=1)[:, local.shape[1] - width]
+        row, at = np.nonzero((local >= kth[:, None]) & ~own)
+        order = np.lexsort((ids[at], -local[row, at], row))  # ties go to the smaller vec_id
+        row, at = row[order], at[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        row, at = row[place < k], at[place < k]
         return pa.table(
             {"query_id": queries[row], "node": np.full(len(row), left.column("node")[0].as_py(), np.int32), "vec_id": ids[at], "local": local[row, at], "low": low[row]}
         )
@@ -77,6 +80,13 @@ def _kth(sums: DataFrame, k: int, name: str) -> DataFrame:
     return best.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("sum")).otherwise(0).alias(name))
 
 
+def _scored(pairs: DataFrame, queries: DataFrame, rows: DataFrame) -> DataFrame:
+    """query_id, vec_id, score of pairs (query_id, vec_id), from the vectors."""
+    both = pairs.join(queries.select("query_id", F.col("ints").alias("_a")), "query_id").join(rows.select("vec_id", F.col("ints").alias("_b")), "vec_id")
+    score = F.aggregate(F.zip_with("_a", "_b", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
+    return both.select("query_id", "vec_id", score.alias("score"))
+
+
 def search(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose vec_id is divisible by `every`, the k others of highest integer
     inner product, ties to the smaller vec_id."""
@@ -93,9 +103,9 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     heads = written(in_cells(c, q, ["dim", "node"], blocks, query_blocks, _heads(k), "query_id long, node int, vec_id long, local long, low long"))
     lows = heads.groupBy("query_id", "node").agg(F.min("low").alias("low"))
     order = Window.partitionBy("query_id", "node").orderBy(F.desc("local"), "vec_id")
-    best = heads.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("low", "_n").join(lows, ["query_id", "node"])
-    sums = best.groupBy("query_id", "vec_id").agg(F.sum(F.col("local") - F.col("low")).alias("sum"))
-    tau1 = _kth(sums, k, "tau")
+    best = heads.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).select("query_id", "vec_id").distinct()
+    raised = _scored(best, queries, rows).join(lows.groupBy("query_id").agg(F.sum("low").alias("low")), "query_id")
+    tau1 = written(_kth(raised.withColumn("sum", F.col("score") - F.col("low")), k, "tau"))
 
     told = q.join(lows, ["query_id", "node"]).join(tau1, "query_id")
     sent = in_cells(c, told, ["dim", "node"], blocks, query_blocks, _reaching, "query_id long, vec_id long, raised long")
@@ -106,9 +116,7 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     tau2 = _kth(open_, k, "tau2")
     left = open_.join(tau2, "query_id").filter(F.col("most") >= F.col("tau2") * NODES).select("query_id", "vec_id")
 
-    pairs = left.join(queries.select("query_id", F.col("ints").alias("_a")), "query_id").join(rows.select("vec_id", F.col("ints").alias("_b")), "vec_id")
-    score = F.aggregate(F.zip_with("_a", "_b", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
-    return top(pairs.select("query_id", "vec_id", score.alias("score")), k)
+    return top(_scored(left, queries, rows), k)
 
 
 #: DuckDB SQL for search(): every query against every row
