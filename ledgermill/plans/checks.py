@@ -317,6 +317,24 @@ def cdc_recent_activity(spark, folder):
     return cdc.cdc_recent_activity(given.cdc_landed(spark, folder), CDC_AS_OF)
 
 
+def _stored(spark, folder):
+    """The landing table as it is kept: shredded files by commit day."""
+    path = scratch(spark, "landing")
+    landed = files.with_commit_date(given.cdc_landed(spark, folder))
+    landed.write.partitionBy(files.COMMIT_DATE).parquet(path)
+    return spark.read.parquet(path)
+
+
+@query
+def stored_cdc_recent_activity(spark, folder):
+    return cdc.cdc_recent_activity(_stored(spark, folder), CDC_AS_OF)
+
+
+@query
+def stored_cdc_action_summary(spark, folder):
+    return cdc.cdc_action_summary(_stored(spark, folder).drop(files.COMMIT_DATE))
+
+
 @query
 def high_value_cdc(spark, folder):
     return cdc.high_value_cdc(given.cdc_landed(spark, folder))

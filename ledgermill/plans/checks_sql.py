@@ -460,4 +460,5 @@ SQL: dict[str, str] = {
     "stream_high_value": _HIGH_VALUE,
     "stream_current_state": _STATE,
 }
+SQL |= {"stored_cdc_recent_activity": _RECENT, "stored_cdc_action_summary": _ACTIONS}
 SQL |= {"published_customer_360": SQL["customer_360"], "published_transaction_summary": SQL["transaction_summary"]}
