@@ -119,6 +119,14 @@ def test_base_spans_as_by_the_patterns(odd_rows):
     assert privacy.report(odd_rows([])).count() == 0
 
 
+def test_addresses_with_parts_of_zeros(odd_rows):
+    rows = [(1, "10.0.0.1 and 0.0.0.0"), (2, "000.1.2.3"), (3, "127.0.0.1\n192.168.0.1"), (4, "0.0.0.256 00.0.0.0000 " + "0" * 4000 + ".1.1.0"), (5, "0000.0.0.1000")]
+    found = privacy.report(odd_rows(rows)).collect()
+    assert {r.doc_id: r.n_ip for r in found} == {1: 2, 2: 1, 3: 2, 4: 2, 5: 0}
+    assert all(r.base_sha256 == hashlib.sha256(",".join(brute_spans(dict(rows)[r.doc_id])).encode()).hexdigest() for r in found)
+    assert privacy.sanitised(odd_rows(rows[:1])).first().text == "[ip] and [ip]"
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="given tables not present")
 def test_base_spans_of_the_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
