@@ -127,9 +127,9 @@ def disclosing(rows: DataFrame, lines: DataFrame, spans: DataFrame) -> DataFrame
     # entities of one context alone drop out before their terms are looked at
     contexts = where.select("entity", "context").distinct().groupBy("entity").count().filter(F.col("count") >= MIN_CONTEXTS)
     several = where.join(contexts.select("entity"), "entity")
+    own = several.join(terms.select("k1", "k2", "line", "term").distinct(), ["k1", "k2", "line"])
     pairs = (
-        several.join(terms.select("k1", "k2", "line", "term").distinct(), ["k1", "k2", "line"])
-        .groupBy("entity", "term", "context")
+        own.groupBy("entity", "term", "context")
         .agg(F.sum("times").alias("times"))
         .groupBy("entity", "term")
         .agg(F.sum("times").alias("n_pair"), F.count("*").alias("contexts"))
@@ -139,7 +139,8 @@ def disclosing(rows: DataFrame, lines: DataFrame, spans: DataFrame) -> DataFrame
     ic = F.log(F.col("n") / F.col("n_entity"))
     pmi = F.log(F.col("n") * F.col("n_pair") / (F.col("n_entity") * F.col("n_term")))
     strong = known.select("entity", "term", F.when(ic > 0, pmi / ic).alias("share")).filter(F.col("share") >= GENERALISE)
-    hits = several.join(strong, "entity").groupBy("k1", "k2", "line", "term").agg(F.max("share").alias("share"))
+    # by entity and term: a line meets only the terms that it holds
+    hits = own.join(strong, ["entity", "term"]).groupBy("k1", "k2", "line", "term").agg(F.max("share").alias("share"))
     return terms.join(hits, ["k1", "k2", "line", "term"]).select("k1", "k2", "line", "offset", F.lit(TERM).alias("kind"), "start", "end", "value", "share")
 
 

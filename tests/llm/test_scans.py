@@ -175,6 +175,14 @@ def test_terms_that_disclose(odd_rows):
     assert all(text[i] == t for i, t in rows if i >= 4 and i != 4) and text[4] == "trillian [email]"
 
 
+def test_lines_meet_only_the_strong_terms_they_hold(odd_rows):
+    docs = odd_rows([(i, f"a@b.cd t{i // 2} {'x' if i % 2 else 'y'}") for i in range(12)])
+    rows = privacy.keyed(docs).select("k1", "k2", "doc_id", "text")
+    lines = privacy._lines(rows)
+    plan = privacy.disclosing(rows, lines, privacy.base_spans(lines))._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join Inner, \(\(entity#\d+ = entity#\d+\) AND \(term#\d+ = term#\d+\)\)", plan)
+
+
 def test_sanitised_leaves_clean_rows_alone(odd_rows):
     rows = [(1, None), (2, ""), (None, "no data é"), (3, "a@b.cd"), (3, "a@b.cd"), (4, "+1.2.3.4 a@b.cd!")]
     got = Counter((r.doc_id, r.text, r["a b"]) for r in privacy.sanitised(odd_rows(rows)).collect())
