@@ -75,7 +75,9 @@ def _order(docs: DataFrame, templates) -> dict[str, int]:
 
 def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """k1, k2, first (word number of the block), label, share for every block and template of which the block holds
-    `threshold` of the tokens. docs: k1, k2, words."""
+    `threshold` of the tokens. docs: k1, k2, words. Longer templates than any block is sure to hold whole are refused."""
+    if longest := [label for label, wording in templates if len(wording.split()) > block - block // 2 + 1]:
+        raise ValueError(f"templates of more than {block - block // 2 + 1} words need larger blocks than {block}: {longest}")
     order = _order(docs, templates)
     ordered = [(label, sorted(set(wording.split()), key=order.__getitem__)) for label, wording in templates]
     needed = [math.ceil(threshold * len(tokens) - 1e-9) for _, tokens in ordered]

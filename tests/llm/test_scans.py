@@ -68,6 +68,14 @@ def test_prefix_filter_loses_no_match(spark, threshold):
     assert {tuple(r) for r in found.select("k1", "first", "label", "share").collect()} == want
 
 
+def test_templates_that_no_block_is_sure_to_hold_are_refused(odd_rows):
+    long = " ".join(f"w{i}" for i in range(34))
+    docs = odd_rows([(1, "x " * 31 + long)])
+    with pytest.raises(ValueError):
+        licenses.scan(docs, [("long", long)])
+    assert licenses.scan(docs, [("long", long)], block=66).first().labels == "long"
+
+
 def no_python(frame):
     plan = frame._jdf.queryExecution().toString()
     return not re.search("Python|Pandas|Arrow", plan)
