@@ -4,8 +4,8 @@ A document is a bag of passages of PASSAGE words. Each passage is described by w
 and encoded by a learned layer; gated attention, learned from document labels alone, weighs the passages, and the
 weighted sum is scored. Every passage of every text is encoded, and a text's passages never leave their task.
 
-The model is fitted on the driver to TRAIN_ROWS labelled rows at most, those of smallest id hash, and to at most
-TRAIN_PASSAGES evenly spaced passages of each, so its input is bounded at any size of the tables.
+The model is fitted on the driver to TRAIN_ROWS labelled rows at most, those of smallest id hash, and to every
+passage of each, so its input is bounded by the rows and grows with their length only.
 
 Rows: a null or empty text is one empty passage and has a score; repeated rows give a row each; null doc_id is never
 held out; of several labels for an id the lowest counts, null labels do not; without any labels every score is 0.5.
@@ -26,7 +26,6 @@ from ledgermill.llm.arrays import Words, slices
 
 PASSAGE = 64
 TRAIN_ROWS = 4000
-TRAIN_PASSAGES = 48
 ENCODED, GATED, STEPS, BAGS = 24, 16, 500, 256
 
 # classes of bytes: other, blank, line end, lower, upper, digit, full stop, comma, bar, exclamation, signs, beyond ASCII
@@ -149,10 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             x, first = passages(batch.column("text"))
-            bags = []
-            for a, b in zip(first, first[1:], strict=False):
-                at = np.unique(np.linspace(a, b - 1, min(b - a, TRAIN_PASSAGES)).round().astype(np.int64))
-                bags.append(x[at].tobytes())
+            bags = [x[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(bags, pa.binary())], names=["doc_id", "quality", "bag"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

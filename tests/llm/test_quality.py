@@ -75,3 +75,11 @@ def test_odd_rows(spark, odd_rows):
     assert quality.score(odd_rows([]), labels).count() == 0
     kept = quality.accepted(docs, labels.limit(0))
     assert kept.columns == docs.columns and kept.count() == 4
+
+
+def test_training_takes_every_passage(spark, odd_rows, monkeypatch):
+    kept = []
+    monkeypatch.setattr(quality, "fit", lambda bags, labels: kept.extend(bags))
+    ids = [r.id for r in spark.range(20).filter(~quality.held_out(quality.F.col("id"))).collect()]
+    quality.train(odd_rows([(ids[0], "word " * 64 * 100)]), spark.createDataFrame([(ids[0], 1)], "doc_id long, quality int"))
+    assert [len(x) for x in kept] == [100]
