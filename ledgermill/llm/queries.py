@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgermill.llm import bpe, licenses, lines, neardup, packing, partitions, privacy, quality, substrings, topk
+from ledgermill.llm import bpe, closeness, licenses, lines, neardup, negatives, packing, partitions, privacy, quality, substrings, topk, whitening
 from ledgermill.llm.store import table
 
 
@@ -49,6 +50,20 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partitions.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label)
+
+
+def op12_closeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return closeness.links(table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 REGISTRY = {
     "op1_lines": op1_lines,
     "op2_licenses": op2_licenses,
@@ -60,6 +75,9 @@ REGISTRY = {
     "op8_neardup": op8_neardup,
     "op9_substrings": op9_substrings,
     "op10_neighbours": op10_neighbours,
+    "op11_negatives": op11_negatives,
+    "op12_closeness": op12_closeness,
+    "op13_whitening": op13_whitening,
 }
 
-SQL: dict[str, str] = {"op1_lines": lines.SQL, "op2_licenses": licenses.SQL, "op7_topk": topk.SQL, "op9_substrings": substrings.SQL}
+SQL: dict[str, str] = {"op1_lines": lines.SQL, "op2_licenses": licenses.SQL, "op7_topk": topk.SQL, "op9_substrings": substrings.SQL, "op11_negatives": negatives.SQL, "op12_closeness": closeness.SQL}
