@@ -89,22 +89,6 @@ def _keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "dim", "embedding").mapInArrow(run, "node long, dim int, round int, key long")
 
 
-def _distances(pairs: DataFrame, keep: str, schema: str) -> DataFrame:
-    """pairs with d, the distance of the unit vectors of u and v; columns of `keep` go along."""
-    names = keep.split()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            d = np.empty(batch.num_rows)
-            for at, (a, b) in _by_length(batch, "u", "v"):
-                d[at] = np.sqrt(((a - b) ** 2).sum(axis=1))
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(d)], names=[*names, "d"])
-
-    return pairs.mapInArrow(run, f"{schema}, d double")
-
-
 def balls(nodes: DataFrame, radius: float) -> DataFrame:
     """node, hub, d: rows within `radius` of a hub, each with one hub; hubs are not listed.
 
@@ -118,14 +102,40 @@ def balls(nodes: DataFrame, radius: float) -> DataFrame:
     named = hubs.select(F.col("hub.node").alias("node")).distinct()
     centres = nodes.join(F.broadcast(named), "node").select(F.col("node").alias("_hub"), F.col("embedding").alias("v"))
     rows = asked.join(nodes.select("node", F.col("embedding").alias("u")), "node").join(F.broadcast(centres), F.col("hub.node") == F.col("_hub"))
-    near = _distances(rows.select("node", "hub", "u", "v"), "node hub", "node long, hub struct<hash: long, node: long>").filter(F.col("d") <= radius)
-    near = written(near)
+    near = _measured(rows.select("node", "hub", "u", "v"), "node hub", "node long, hub struct<hash: long, node: long>").filter(F.col("d") <= radius)
+    near = written(near.drop("linked"))
     taken = near.select(F.col("node").alias("_hub")).distinct().join(F.broadcast(named.withColumnRenamed("node", "_hub")), "_hub")
     free = near.join(F.broadcast(taken), F.col("hub.node") == F.col("_hub"), "left_anti")
     best = free.groupBy("node").agg(F.min(F.struct("hub", "d")).alias("b"))
     return best.select("node", F.col("b.hub.node").alias("hub"), F.col("b.d").alias("d"))
 
 
+def _near(left: np.ndarray, right: np.ndarray, reach: np.ndarray, more: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows that may be as near as `reach` of the left and `more` of the right one together, tile by tile.
+
+    One product gives (limit**2 - distance**2) / 2 for a whole tile, whose size fits a core's cache."""
+    half = lambda x: (x * x).sum(axis=1, keepdims=True) / 2
+    limit = (reach + (more.max() if len(more) else 0.0) + 1e-4).astype(np.float32)[:, None]
+    first = np.hstack([left, limit**2 / 2 - half(left), np.ones((len(left), 1), np.float32)]).astype(np.float32)
+    second = np.hstack([right, np.ones((len(right), 1), np.float32), -half(right)]).astype(np.float32).T
+    wide = 4096
+    tiles = [np.ascontiguousarray(np.pad(second[:, at : at + wide], ((0, 0), (0, max(0, at + wide - second.shape[1]))), constant_values=-4.0)) for at in range(0, second.shape[1], wide)]
+    room, hit = np.empty((256, wide), np.float32), np.empty((256, wide), bool)
+    for at in range(0, len(first), 256):
+        some = first[at : at + 256]
+        for n, tile in enumerate(tiles):
+            np.matmul(some, tile, out=room[: len(some)])
+            np.greater_equal(room[: len(some)], 0, out=hit[: len(some)])
+            # eight flags at a time
+            eights = np.flatnonzero(hit[: len(some)].reshape(-1).view(np.uint64))
+            if len(eights):
+                flat = (eights[:, None] * 8 + np.arange(8)).ravel()
+                flat = flat[hit.reshape(-1)[flat]]
+                i, j = flat // wide + at, flat % wide + n * wide
+                inside = j < len(right)
+                yield i[inside], j[inside]
+
+
 def _range_join(leaders: DataFrame, reach: float) -> DataFrame:
     """(a, b), a < b: leaders whose distance may be below reach + both radii, by at least one block's share of its square."""
     widest = leaders.agg(F.max("radius")).first()[0] or 0.0
@@ -155,26 +165,19 @@ def _range_join(leaders: DataFrame, reach: float) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         node, radius, home, lot = (np.asarray(table.column(n)) for n in ("node", "radius", "home", "lot"))
-        part = matrix(table, "part")
+        part = matrix(table, "part", np.float32)
         low, high, dim = table.column("x")[0].as_py(), table.column("y")[0].as_py(), table.column("dim")[0].as_py()
         share = math.sqrt(part.shape[1] / dim)
         left, right = np.flatnonzero(lot == low), np.flatnonzero(lot == high)
-        half = -(part * part).sum(axis=1, keepdims=True) / 2
-        ones = np.ones_like(half)
-        first, second = np.hstack([part, half, ones]), np.hstack([part, ones, half])
-        most = radius[right].max() if len(right) else 0.0
-        a, b = [], []
-        for at in range(0, len(left), 512):
-            some = left[at : at + 512]
-            limit = (reach + radius[some] + most) * share + 1e-5  # for what 32 bits round off
-            i, j = np.nonzero(first[some] @ second[right].T >= -(limit**2)[:, None] / 2)  # minus half a squared distance
-            i, j = some[i], right[j]
-            true = ((part[i] - part[j]) ** 2).sum(axis=1) <= ((reach + radius[i] + radius[j]) * share + 1e-5) ** 2
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, j in _near(part[left], part[right], (reach + radius[left]) * share, radius[right] * share):
+            i, j = left[i], right[j]
+            apart = ((part[i].astype(float) - part[j]) ** 2).sum(axis=1)
+            true = apart <= ((reach + radius[i] + radius[j]) * share + 1e-5) ** 2  # for what 32 bits round off
             good = true & (home[i] | home[j]) & ((node[i] < node[j]) if low == high else (node[i] != node[j]))
             a.append(np.minimum(node[i], node[j])[good])
             b.append(np.maximum(node[i], node[j])[good])
-        none = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     schema = "node long, radius double, dim int, block int, cell long, home boolean, part array<float>"
     keys = ["dim", "block", "cell"]
@@ -187,25 +190,26 @@ def _range_join(leaders: DataFrame, reach: float) -> DataFrame:
     return each.drop("_o", "n").groupBy(*keys, "x", "y").applyInArrow(run, "a long, b long").distinct()
 
 
-def _linked(pairs: DataFrame, keep: str, schema: str) -> DataFrame:
-    """The pairs whose vectors u and v have a cosine of THRESHOLD or more."""
+def _measured(pairs: DataFrame, keep: str, schema: str) -> DataFrame:
+    """pairs with d, the distance of the unit vectors of u and v, and linked: a cosine of THRESHOLD or more."""
     names = keep.split()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            good = np.zeros(batch.num_rows, bool)
+            d, linked = np.empty(batch.num_rows), np.zeros(batch.num_rows, bool)
             table = pa.Table.from_batches([batch])
             size = np.diff(np.asarray(batch.column("u").offsets, np.int64))
             for dim in np.unique(size):
                 at = np.flatnonzero(size == dim)
                 u, v = (matrix(table.take(at), n) for n in ("u", "v"))
+                d[at] = np.sqrt(((unit(u) - unit(v)) ** 2).sum(axis=1))
                 u, v = (x / np.abs(x).max(axis=1, keepdims=True) for x in (u, v))
-                good[at] = (u * v).sum(axis=1) / (np.sqrt((u * u).sum(axis=1)) * np.sqrt((v * v).sum(axis=1))) >= THRESHOLD
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names], names=names).filter(pa.array(good))
+                linked[at] = (u * v).sum(axis=1) / (np.sqrt((u * u).sum(axis=1)) * np.sqrt((v * v).sum(axis=1))) >= THRESHOLD
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(d), pa.array(linked)], names=[*names, "d", "linked"])
 
-    return pairs.mapInArrow(run, schema)
+    return pairs.mapInArrow(run, f"{schema}, d double, linked boolean")
 
 
 def _rows(vectors: DataFrame) -> DataFrame:
@@ -240,12 +244,13 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         )
     )
     side = lambda end, vector: leaders.select(F.col("node").alias(end), F.col("embedding").alias(vector), *[F.col(c).alias(f"{end}_{c}") for c in ("radius", "copies", "weight", "ball")])
-    met = _range_join(leaders, reach + EPS).join(side("a", "u"), "a").join(side("b", "v"), "b")
-    single = _linked(met.filter("NOT a_ball AND NOT b_ball"), "a b a_copies b_copies", "a long, b long, a_copies long, b_copies long")
-    single = written(single)
-    kept = "a b a_radius b_radius a_ball b_ball a_weight b_weight"
-    wide = _distances(met.filter("a_ball OR b_ball"), kept, "a long, b long, a_radius double, b_radius double, a_ball boolean, b_ball boolean, a_weight long, b_weight long")
-    wide = written(wide.filter(F.col("d") - F.col("a_radius") - F.col("b_radius") <= reach + EPS))
+    met = written(_range_join(leaders, reach + EPS)).join(side("a", "u"), "a").join(side("b", "v"), "b")
+    names = "a b a_copies b_copies a_radius b_radius a_ball b_ball a_weight b_weight"
+    kinds = "a long, b long, a_copies long, b_copies long, a_radius double, b_radius double, a_ball boolean, b_ball boolean, a_weight long, b_weight long"
+    met = _measured(met, names, kinds)
+    met = written(met.filter(F.col("d") - F.col("a_radius") - F.col("b_radius") <= reach + EPS))
+    single = met.filter("NOT a_ball AND NOT b_ball AND linked")
+    wide = met.filter("a_ball OR b_ball")
     whole = F.col("d") + F.col("a_radius") + F.col("b_radius") <= reach - EPS
 
     # balls that are neither linked as a whole nor apart: rows of the first against the second ball
@@ -254,16 +259,15 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     vector = lambda name: nodes.select("node", F.col("embedding").alias(name), "copies")
     first = opened.select("a", "b", "b_radius", "b_weight").join(rows_of.withColumnRenamed("hub", "a"), "a").join(vector("u"), "node")
     first = first.join(leaders.select(F.col("node").alias("b"), F.col("embedding").alias("v")), "b")
-    tested = _distances(
-        first.select("a", "b", "node", "copies", "b_radius", "b_weight", "u", "v"), "a b node copies b_radius b_weight", "a long, b long, node long, copies long, b_radius double, b_weight long"
-    )
+    tested = _measured(first, "a b node copies b_radius b_weight", "a long, b long, node long, copies long, b_radius double, b_weight long")
     tested = written(tested.filter(F.col("d") - F.col("b_radius") <= reach + EPS))
     all_of_b = F.col("d") + F.col("b_radius") <= reach - EPS
     # what that leaves open: row by row
     last = tested.filter(~all_of_b).select("a", "b", F.col("node").alias("x"), F.col("copies").alias("x_copies"))
     last = last.join(rows_of.select(F.col("hub").alias("b"), F.col("node").alias("y")), "b")
     last = last.join(vector("u").select(F.col("node").alias("x"), "u"), "x").join(vector("v").select(F.col("node").alias("y"), "v", F.col("copies").alias("y_copies")), "y")
-    exact = written(_linked(last, "a b x y x_copies y_copies", "a long, b long, x long, y long, x_copies long, y_copies long"))
+    exact = _measured(last, "a b x y x_copies y_copies", "a long, b long, x long, y long, x_copies long, y_copies long")
+    exact = written(exact.filter("linked"))
 
     # links of whole balls (by hub) and of single rows (by node)
     joined = wide.filter(whole)
