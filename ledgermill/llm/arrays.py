@@ -1,7 +1,7 @@
 """Words, windows and 64-bit hashes of whole Arrow string columns, without a Python object for each word.
 
 Words are maximal runs of bytes other than space and \\t..\\r; both are single bytes in UTF-8, so cutting bytes cuts text.
-A batch is taken in slices of a few MB, so memory follows the slice (or one very long text) and not the batch.
+A batch is taken in slices of a MB, so memory follows the slice (or one very long text) and not the batch.
 """
 
 from __future__ import annotations
@@ -11,14 +11,37 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _U = np.uint64
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
+_OTHER = np.random.default_rng(12).integers(1, 2**63, 256, dtype=np.uint64)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+class Memo(dict):
+    """Results by word, at most `limit` bytes of them: when these are reached it starts anew. Words of more than LONGEST
+    letters are not kept, so texts without spaces between words cannot fill it with long runs."""
+
+    LONGEST = 48
+    #: bytes of an entry beside its letters (four bytes each at most) and its result
+    ENTRY = 200
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.held = limit, 0
+
+    def keep(self, word: str, result: bytes) -> None:
+        if len(word) > self.LONGEST:
+            return
+        self.held += self.ENTRY + 4 * len(word) + len(result)
+        if self.held > self.limit:
+            self.clear()
+            self.held = self.ENTRY + 4 * len(word) + len(result)
+        self[word] = result
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit (the finaliser of splitmix64)."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -94,8 +117,10 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
-    def hashes(self) -> np.ndarray:
-        return spans_hash(_BYTE[self.data], self.start, self.end, 0x9E3779B97F4A7C15)
+    def hashes(self, other: bool = False) -> np.ndarray:
+        """64 bits for each word; other: 64 more, from other values of the bytes and another base."""
+        values, base = (_OTHER, 0xA0761D6478BD642F) if other else (_BYTE, 0x9E3779B97F4A7C15)
+        return spans_hash(values[self.data], self.start, self.end, base)
 
     def windows(self, codes: np.ndarray, size: int, starts: np.ndarray, base: int = 0xD1342543DE82EF95) -> np.ndarray:
         """Hash of the `size` words from each start; the caller keeps the windows inside a row."""

@@ -24,10 +24,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.arrays import slices
+from ledgermill.llm.arrays import Memo, slices
 
-#: entries of a worker's memo of encoded words; when full it starts anew, so memory is bounded at any input size
-MEMO = 500_000
+#: bytes of a worker's memo of words, and of that of stretches between spaces
+MEMO = 64 << 20
+#: entries of the memo of pairs; each is of one size
+PAIRS = 500_000
 SCHEMA = "doc_id long, n_tokens long, ids binary, decoded string"
 
 _BLANKS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -68,8 +70,7 @@ class Codec:
             self.matcher.add_word(token.decode("latin-1"), (len(token), i))
         self.matcher.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.words, self.chunks = Memo(MEMO), Memo(MEMO)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
 
     def compatible(self, left: int, right: int) -> bool:
@@ -94,7 +95,7 @@ class Codec:
             else:
                 # the right token's last merge stands right of the border: at equal rank the border comes first
                 b, last = pb[0], pb[2] + 1
-        if len(self.pairs) > MEMO:
+        if len(self.pairs) > PAIRS:
             self.pairs.clear()
         self.pairs[left, right] = good
         return good
@@ -118,9 +119,7 @@ class Codec:
                 ids.append(token)
                 end -= size
             found = np.array(ids[::-1], "<u4").tobytes()
-            if len(self.words) > MEMO:
-                self.words.clear()
-            self.words[word] = found
+            self.words.keep(word, found)
         return found
 
     def _settle(self, last: list, tokens: list[tuple[int, int]], end: int) -> None:
@@ -141,9 +140,7 @@ class Codec:
             ids = chunks.get(chunk)
             if ids is None:
                 ids = b"".join(map(self.word, _WORD.findall(" " + chunk)))
-                if len(chunks) > MEMO:
-                    chunks.clear()
-                chunks[chunk] = ids
+                chunks.keep(chunk, ids)
             out.append(ids)
         return b"".join(out)
 

@@ -18,20 +18,19 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.arrays import slices
+from ledgermill.llm.arrays import Memo, slices
 from ledgermill.llm.store import written
 
 LENGTH = 2048
 END = 0
 #: pieces packed by one task at a time
 GROUP = 20_000
-#: entries of a worker's memo of encoded words
-MEMO = 800_000
+#: bytes of a worker's memo of encoded runs, and half of that for the words in them
+MEMO = 64 << 20
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = f"{_PIECES}, sequence_id long, offset long, room long"
@@ -55,8 +54,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
-        self.plain: dict[str, bytes] = {}
+        self.known, self.plain = Memo(MEMO), Memo(MEMO // 2)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -64,25 +62,29 @@ class Encoder:
     def _bytes(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def _learn(self, new: set[str]) -> None:
+    def _learned(self, new: set[str]) -> dict[str, bytes]:
         """ids of runs that are not known yet."""
         parts = {run: found.groups() for run in new if (found := _SIMPLE.fullmatch(run))}
-        if len(self.plain) > MEMO:
-            self.plain.clear()
-        words = [w for w in {word.lower() for word, _ in parts.values()} if w not in self.plain]
+        plain = {w: self.plain.get(w) for w in {x for word, signs in parts.values() for x in (word.lower(), signs)}}
+        words = [w for w, ids in plain.items() if ids is None and w and w[0].isalpha()]
         joined = [" ".join(words[at : at + JOINED]) for at in range(0, len(words), JOINED)]
         for some, got in zip(joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
             ids = np.array(got.ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             data = ids.tobytes()
-            self.plain.update(zip(some.split(), (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
-        for run, (word, signs) in parts.items():
-            if signs and signs not in self.plain:
-                self.plain[signs] = self._bytes(signs)
-            self.known[run] = self.plain[word.lower()] + (self.plain[signs] if signs else b"")
+            plain.update(zip(some.split(), (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        for signs in [w for w, ids in plain.items() if ids is None]:
+            plain[signs] = self._bytes(signs) if signs else b""
+        for word, ids in plain.items():
+            if word not in self.plain:
+                self.plain.keep(word, ids)
+        out = {run: plain[word.lower()] + plain[signs] for run, (word, signs) in parts.items()}
         other = list(new - parts.keys())
-        for run, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.known[run] = np.array(got.ids, "<u4").tobytes()
+        for at in range(0, len(other), 1024):
+            some = other[at : at + 1024]
+            for run, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                out[run] = np.array(got.ids, "<u4").tobytes()
+        return out
 
     def encode(self, text: str) -> bytes:
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # str.split cuts at these, the vocabulary does not
@@ -91,10 +93,11 @@ class Encoder:
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            if len(self.known) > MEMO:
-                self.known.clear()
-            self._learn({w for w in words if w not in self.known})
-            return b"".join(map(self.known.__getitem__, words))
+            fresh = self._learned({w for w in words if w not in self.known})
+            ids = b"".join([fresh[w] if w in fresh else self.known[w] for w in words])
+            for run, of_run in fresh.items():
+                self.known.keep(run, of_run)
+            return ids
 
 
 @cache
@@ -164,11 +167,16 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _packer(length: int, level: int):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        sequence, offset, room = place(frame["length"].to_numpy(np.int64), length)
-        ids = (frame["deal"] * (1 << 20) + sequence) * 8 + level
-        return frame.assign(sequence_id=ids, offset=offset, room=room[sequence])[[c.split()[0] for c in _PLACED.split(", ")]]
+    order = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(order)
+        sequence, offset, room = place(np.asarray(table.column("length"), np.int64), length)
+        ids = (table.column("deal")[0].as_py() * (1 << 20) + sequence) * 8 + level
+        placed = table.select(_names())  # ids stay as Arrow has them, beside nulls too
+        for name, values in (("sequence_id", ids), ("offset", offset), ("room", room[sequence])):
+            placed = placed.append_column(name, pa.array(values, pa.int64()))
+        return placed
 
     return run
 
@@ -190,7 +198,7 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, group: int = GROUP) -
             break
         groups = -(-rows // group)
         own = open_.select(*_names(), F.pmod(F.xxhash64(number), F.lit(groups)).alias("deal"))
-        placed = written(own.groupBy("deal").applyInPandas(_packer(length, level), _PLACED))
+        placed = written(own.groupBy("deal").applyInArrow(_packer(length, level), _PLACED))
         if groups == 1:
             done.append(placed)
             open_ = None

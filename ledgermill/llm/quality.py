@@ -29,7 +29,7 @@ TRAIN_ROWS = 4000
 ENCODED, GATED, STEPS, BAGS = 24, 16, 500, 256
 
 # classes of bytes: other, blank, line end, lower, upper, digit, full stop, comma, bar, exclamation, signs, beyond ASCII
-_CLASS = np.zeros(256, np.int64)
+_CLASS = np.zeros(256, np.int32)
 for _n, _chars in enumerate((" \t\r\x0b\x0c", "\n", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".", ",", "|", "!?", "#$%&*@^~+=<>_"), 1):
     _CLASS[list(_chars.encode())] = _n
 _CLASS[128:] = 11
@@ -54,8 +54,11 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     start = np.append(words.start, len(words.data))
     byte = np.append(np.where(place == 0, words.at[row], start[begin]), len(words.data))
     length = np.diff(byte)
-    owner = np.repeat(np.arange(len(row)), length)
-    kinds = np.bincount(owner * _CLASSES + _CLASS[words.data], minlength=len(row) * _CLASSES).reshape(-1, _CLASSES)
+    kinds = np.zeros((len(row), _CLASSES), np.int64)
+    for a in range(0, len(row), 512):  # few passages at a time, since this takes whole numbers for every byte
+        own = np.repeat(np.arange(len(length[a : a + 512]), dtype=np.int32), length[a : a + 512])
+        one = _CLASS[words.data[byte[a] : byte[a] + len(own)]]
+        kinds[a : a + 512] = np.bincount(own * _CLASSES + one, minlength=len(length[a : a + 512]) * _CLASSES).reshape(-1, _CLASSES)
     shares = kinds / np.maximum(length, 1)[:, None]
 
     per = np.maximum(n, 1)
@@ -63,7 +66,7 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     mean = lambda x: np.bincount(of, x, len(row)) / per
     wide = (words.end - words.start).astype(float)
     code = words.hashes()
-    small = np.concatenate([[0], np.cumsum(_CLASS[words.data] == 3)])
+    small = np.concatenate([[0], np.cumsum(_CLASS[words.data] == 3, dtype=np.int32)])
     large = _CLASS[words.data[words.start]] == 4 if len(words) else np.zeros(0, bool)
     loud = (small[words.end] == small[words.start]) & large & (wide > 1)
     again = np.zeros(len(words))

@@ -108,3 +108,29 @@ def test_sum_of_squares_rule():
         assert at == capacity - left[bin_]
         left[bin_] -= size
     assert left == room.tolist()
+
+
+def test_ids_beside_nulls_stay_exact(odd_rows):
+    big = 2**60 + 1
+    rows = packing.pack(odd_rows([(big, "a b"), (None, "c"), (big + 2, "d")]), WORDS).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.length) for r in rows) == [(False, big, 3), (False, big + 2, 2), (True, 0, 2)]
+
+
+@pytest.mark.parametrize("kind", ["ideographs", "base64", "words"])
+def test_memos_are_bounded_in_bytes(monkeypatch, kind):
+    """Texts without spaces, and very many distinct words, leave no more in a worker than the limit."""
+    limit = 200_000
+    monkeypatch.setattr(bpe, "MEMO", limit)
+    monkeypatch.setattr(packing, "MEMO", limit)
+    rng = np.random.default_rng(1)
+    letters = {"ideographs": [chr(c) for c in range(0x4E00, 0x5E00)], "base64": list("ABCDEFabcdef0123456789+/"), "words": list("abcdefgh")}[kind]
+    size, runs = (9, 400) if kind == "words" else (400, 20)
+    text = [" ".join("".join(rng.choice(letters, size)) for _ in range(runs)) for _ in range(12)]
+    codec, encoder = bpe.Codec(BYTES), packing.Encoder(WORDS)
+    for t in text:
+        assert codec.encode(t) == ids_of(LIBRARY, t)
+        assert encoder.encode(t) == ids_of(WORD_LIBRARY, t)
+    for memo in (codec.words, codec.chunks, encoder.known, encoder.plain):
+        held = sum(memo.ENTRY + 4 * len(k) + len(v) for k, v in memo.items())
+        assert held == memo.held <= limit
+        assert kind == "words" or max(map(len, memo), default=0) <= memo.LONGEST
