@@ -21,9 +21,10 @@ def brute_licenses(doc_id, text):
     more, share = set(), 0.0
     for first in range(0, len(words), licenses.BLOCK // 2):
         held = set(words[first : first + licenses.BLOCK])
-        for label, wording in licenses.TEMPLATES:
+        for label, wording, needs, bars in licenses.TEMPLATES:
             tokens = set(wording.split())
-            if len(held & tokens) >= math.ceil(licenses.THRESHOLD * len(tokens) - 1e-9):
+            told = set(needs.split()) <= held and not set(bars.split()) & held
+            if told and len(held & tokens) >= math.ceil(licenses.THRESHOLD * len(tokens) - 1e-9):
                 more.add(label)
                 share = max(share, len(held & tokens) / len(tokens))
     ends = (min(places), max(places)) if places else (None, None)
@@ -51,6 +52,36 @@ def test_licenses_as_by_brute_force(odd_rows):
     assert licenses.scan(odd_rows([])).count() == 0
 
 
+#: texts and their labels, set by hand
+BY_HAND = [
+    ("released under the Apache license", ""),
+    ("released under the BSD license", "bsd"),
+    ("Released under the MIT License.", "mit"),
+    ("the license under which it was released is unknown", ""),
+    ("licensed under CC BY-SA 4.0", "cc-by,cc-by-sa"),
+    ("Licensed under CC BY 4.0", "cc-by"),
+    ("This file is licensed under CC BY-NC-SA 4.0.", "cc-by,cc-by-nc-sa"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+    ("Licensed under the Apache License, Version 2.0 (the 'License'); you may not use this file except in compliance with the License.", "apache-2.0"),
+    ("You may not use this file except in compliance with the License. You may obtain a copy of the License at", "apache-2.0"),
+    ("licensed under the terms of the GNU Lesser General Public License", "gpl,lgpl"),  # the phrase of three words stands here
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "gpl,lgpl"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+    ("The committee released a statement under the license of the court", ""),
+    ("Copyright 2020 X. All rights reserved.", "reserved"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+]
+
+
+def test_labels_set_by_hand(odd_rows):
+    got = {r.doc_id: r.labels for r in licenses.scan(odd_rows([(n, t) for n, (t, _) in enumerate(BY_HAND)])).collect()}
+    assert {BY_HAND[n][0]: labels for n, labels in got.items()} == dict(BY_HAND)
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
 def test_prefix_filter_loses_no_match(spark, threshold):
     """Every block against every template, where tokens are spread at random."""
