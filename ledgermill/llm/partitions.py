@@ -9,8 +9,8 @@ The sample is the SAMPLE rows of smallest id hash; the model's size depends on i
 cut into blocks of rows, so no task holds a whole part.
 
 Rows: null, zero, and vectors with null or non-finite components take no part, nor do rows without id; vec_id is a key
-(rows that repeat an id as a whole count once). Vectors of another length than the sample's first are compared with
-nothing. Fewer candidates than k: all that the parts hold. An empty table gives an empty result. Other columns are ignored.
+(rows that repeat an id as a whole count once). Each length of vectors has a sample and a router of its own; lengths of
+fewer than ROUTED rows are one part. Fewer candidates than k: all that the parts hold. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ NEIGHBOURS = 10
 COVERAGE = 0.97
 HIDDEN = 64
 STEPS = 300
+#: rows of a length from which a router is fitted for it
+ROUTED = 512
 #: rows that a task compares at a time
 BLOCK = 4096
 
@@ -140,14 +142,15 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit(rows: DataFrame, parts: int = PARTS) -> tuple[Router | None, int]:
-    """A router from the sample, and the length of the vectors it is for. rows: as usable() gives them, without zeros."""
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()
-    vectors = [r.embedding for r in sample]
-    if not vectors:
-        return None, 0
-    dim = len(vectors[0])
-    return Router(unit(np.array([x for x in vectors if len(x) == dim], float)), parts), dim
+def fit(rows: DataFrame, parts: int = PARTS) -> dict[int, Router]:
+    """A router from a sample for every length of vectors. rows: as usable() gives them, without zeros."""
+    sized = rows.withColumn("dim", F.size("embedding"))
+    routers = {}
+    for dim, n in sorted((r["dim"], r["count"]) for r in sized.groupBy("dim").count().filter(f"count >= {ROUTED}").collect()):
+        own = sized.filter(F.col("dim") == dim)
+        sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()
+        routers[dim] = Router(unit(np.array([r.embedding for r in sample], float)), parts)
+    return routers
 
 
 def _nearest(k: int):
@@ -174,21 +177,23 @@ def _nearest(k: int):
 def search(vectors: DataFrame, every: int = 50, k: int = 5, parts: int = PARTS) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose vec_id is divisible by `every`, the k nearest others found."""
     rows = written(usable(vectors).filter(F.exists("embedding", lambda x: x != 0)))
-    router, dim = fit(rows, parts)
-    result = "query_id long, rank int, vec_id long, score double"
-    if router is None:
-        return rows.sparkSession.createDataFrame([], result)
+    routers = fit(rows, parts)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x = unit(matrix(pa.Table.from_batches([batch]), "embedding"))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(router.home(x)), pa.array([v.tolist() for v in router.visited(x)], pa.list_(pa.int64()))], names=["vec_id", "embedding", "part", "visits"])
-
-    same = rows.filter(F.size("embedding") == dim)
-    indexed = written(same.mapInArrow(route, "vec_id long, embedding array<double>, part long, visits array<long>"))
-    queries = indexed.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "embedding", F.explode("visits").alias("part"))
-    largest = indexed.groupBy("part").count().agg(F.max("count")).first()[0] or 1
-    asked = queries.groupBy("part").count().agg(F.max("count")).first()[0] or 1
-    found = in_cells(indexed.drop("visits"), queries, ["part"], -(-largest // BLOCK), -(-asked // QUERY_BLOCK), _nearest(k), "query_id long, vec_id long, score double")
+            size = np.diff(np.asarray(batch.column(1).offsets, np.int64))
+            for dim in np.unique(size).tolist():
+                own = batch.take(pa.array(np.flatnonzero(size == dim)))
+                home, visits = np.zeros(own.num_rows, np.int64), [[0]] * own.num_rows
+                if dim in routers:
+                    x = unit(matrix(pa.Table.from_batches([own]), "embedding"))
+                    home, visits = routers[dim].home(x), [v.tolist() for v in routers[dim].visited(x)]
+                added = [pa.array(np.full(own.num_rows, dim), pa.int32()), pa.array(home), pa.array(visits, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*own.columns, *added], names=["vec_id", "embedding", "dim", "part", "visits"])
+
+    indexed = written(rows.mapInArrow(route, "vec_id long, embedding array<double>, dim int, part long, visits array<long>"))
+    queries = indexed.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "dim", "embedding", F.explode("visits").alias("part"))
+    largest = indexed.groupBy("dim", "part").count().agg(F.max("count")).first()[0] or 1
+    asked = queries.groupBy("dim", "part").count().agg(F.max("count")).first()[0] or 1
+    found = in_cells(indexed.drop("visits"), queries, ["dim", "part"], -(-largest // BLOCK), -(-asked // QUERY_BLOCK), _nearest(k), "query_id long, vec_id long, score double")
     return top(found, k)

@@ -82,6 +82,17 @@ def test_partitions_of_few_rows_and_ties(spark):
     assert [(r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 1, 1.0), (2, 2, 1.0), (3, 5, 1.0)]
 
 
+def test_every_length_is_searched(spark):
+    """Each length has its own parts; queries of all lengths get rows."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(8 if i % 3 else 5).tolist()) for i in range(1800)] + [(1800 + i, [1.0 + i, 1.0]) for i in range(60)]
+    got = partitions.search(frame(spark, rows), every=50, k=5).collect()
+    size = {i: len(v) for i, v in rows}
+    asked = [i for i, _ in rows if i % 50 == 0]
+    assert {q: len([r for r in got if r.query_id == q]) for q in asked} == dict.fromkeys(asked, 5)
+    assert all(size[r.query_id] == size[r.vec_id] for r in got)
+
+
 def test_parts_are_equal_and_cut_few_edges():
     rng = np.random.default_rng(2)
     x = partitions.unit(np.repeat(np.eye(8), 50, axis=0) + 0.05 * rng.standard_normal((400, 8)))
