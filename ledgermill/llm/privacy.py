@@ -100,7 +100,9 @@ def base_spans(lines: DataFrame) -> DataFrame:
 def _terms(lines: DataFrame, spans: DataFrame) -> DataFrame:
     """k1, k2, line, offset, term, start, end: every word of the entities' lines, outside the matches themselves."""
     covered = spans.groupBy("k1", "k2", "line").agg(F.collect_list(F.struct("start", "end")).alias("covered"))
-    own = lines.join(covered, ["k1", "k2", "line"])
+    # lines are few bytes and much work each, so their number of tasks is not left to their size
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = lines.repartition(tasks, "k1", "k2", "line").join(covered, ["k1", "k2", "line"])
     each = own.select("k1", "k2", "line", "offset", "covered", F.explode(_cut(F.col("body"), _WORD)).alias("m"))
     placed = _placed(each, ["k1", "k2", "line"])
     outside = ~F.exists("covered", lambda c: (c["start"] < F.col("end")) & (F.col("start") < c["end"]))
@@ -119,7 +121,7 @@ def disclosing(rows: DataFrame, lines: DataFrame, spans: DataFrame) -> DataFrame
 
     share: the largest PMI(e, t) / IC(e) of the line's entities, GENERALISE at least."""
     entities = spans.select("k1", "k2", "line", F.concat_ws(":", "kind", F.lower("value")).alias("entity")).distinct()
-    terms = _terms(lines, spans)
+    terms = written(_terms(lines, spans))  # read three times below
     lines_of = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
     total = rows.agg(F.sum(lines_of)).first()[0]
     where = lines.select("k1", "k2", "line", "times", F.xxhash64("body").alias("context")).join(entities, ["k1", "k2", "line"])
