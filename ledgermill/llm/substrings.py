@@ -30,6 +30,8 @@ PERIOD = 21
 COVER = (3, 6, 7, 12, 14)
 #: entries that a task gathers before it sends them on
 BATCH = 1_500_000
+#: letters of text whose entries make one deal; a deal holds about a byte for each
+DEAL = 32 << 20
 _U = np.uint64
 _SECOND = 0xA0761D6478BD642F
 
@@ -151,9 +153,9 @@ def _windows(docs: DataFrame, window: int, deals: int) -> DataFrame:
             np.add.at(edge, (words.first[owner] + low)[good], 1)
             np.add.at(edge, (words.first[owner] + high + 1)[good], -1)
             here = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-            codes = words.hashes()
-            hashes = words.windows(codes, window, here)
-            more = spans_hash(mix(codes + _U(_SECOND)), here, here + window, _SECOND) & _U(0xFFFFFFFF)
+            hashes = words.windows(words.hashes(), window, here)
+            # from hashes of its own: words that one hash takes for equal are told apart by the other
+            more = spans_hash(words.hashes(other=True), here, here + window, _SECOND) & _U(0xFFFFFFFF)
             row = words.row[here]
             if box.add(hashes, more, np.asarray(batch.column("k1"))[row], here - words.first[row]):
                 yield from box.flush()
@@ -179,8 +181,10 @@ def _shaped(docs: DataFrame, window: int, column: str, show) -> DataFrame:
     """show: turns the kept words, joined by spaces in UTF-8, into the value of the last column."""
     if window < PERIOD:
         raise ValueError(f"a window needs {PERIOD} words at least")
-    deals = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = keyed(docs).select("k1", "doc_id", "text")
+    # a deal meets in one task, so their number follows the text
+    letters = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    deals = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-letters // DEAL))
     anchors = _repeated(_anchors(rows.select("k1", "text"), window - PERIOD + 1, deals), deals)
     # both joins deal the rows by k1, so Spark moves the texts once and reads that shuffle twice
     windows = _repeated(_windows(rows.join(anchors, "k1"), window, deals), deals)
