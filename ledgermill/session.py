@@ -60,3 +60,22 @@ def remove(spark: SparkSession, path: str) -> None:
 def scratch(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/ledgermill/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``, from the store's own listing; none if it is not there."""
+    store, at = _file_system(spark, path)
+    if not store.exists(at):
+        return []
+    return [f.getPath().getName() for f in store.listStatus(at) if f.isDirectory()]
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder, with those above it. As a mark it appears at one moment, and again changes nothing."""
+    store, at = _file_system(spark, path)
+    store.mkdirs(at)

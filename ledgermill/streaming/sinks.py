@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import threading
+import urllib.parse
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgermill.session import remove
+from ledgermill.session import folders, make_folder, remove
 
 # read what is there, then stop; pass {"processingTime": "10 seconds"} to keep running
 ONCE = {"availableNow": True}
@@ -34,6 +35,8 @@ def append(
 
 
 LAYOUT = ("level", "query", "batch")
+#: marks of finished snapshots; Spark's readers pass over folders named like this
+DONE = "_done"
 
 
 def write_batch(rows: DataFrame, path: str, *layout: str) -> None:
@@ -59,19 +62,21 @@ def each_batch(
     output_mode: str = "append",
     level: str = "changes",
     kept: int | None = None,
+    within: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Condense every micro-batch and keep it as its own partition of the table at ``path``.
 
     The query's id, which lives in its checkpoint, and the batch number name the partition. A
     batch that is run again after a failure replaces its own rows; a query that starts anew
     with another checkpoint adds to what is there and replaces nothing. With ``kept``, only
-    that many of the query's last batches remain.
+    that many of the query's last batches remain. ``within`` names columns by which a batch's
+    partition is divided further.
     """
     known, started = [], threading.Event()
 
     def keep(batch: DataFrame, number: int) -> None:
         started.wait()
-        write_batch(condense(batch).withColumns(_place(level, known[0], number)), path, *LAYOUT)
+        write_batch(condense(batch).withColumns(_place(level, known[0], number)), path, *LAYOUT, *within)
         if kept and number >= kept:
             remove(batch.sparkSession, f"{path}/level={level}/query={known[0]}/batch={number - kept}")
 
@@ -87,22 +92,41 @@ def each_batch(
     return query
 
 
+def unescaped(name: str) -> str:
+    """A partition's value as its folder's name shows it."""
+    return urllib.parse.unquote(name)
+
+
 def read_log(spark: SparkSession, path: str, columns: str) -> DataFrame:
     """All partitions kept at ``path``; no rows yet is fine."""
     return spark.read.schema(f"{columns}, level string, query string, batch bigint").parquet(path)
 
 
-def _partitions(log: DataFrame, level: str) -> list[tuple[str, int]]:
-    """(query, batch) of the partitions of one level; only their names are read."""
-    return [tuple(r) for r in log.where(F.col("level") == level).select("query", "batch").distinct().collect()]
+def _partitions(log: DataFrame, path: str, level: str) -> list[tuple[str, int]]:
+    """(query, batch) of the partitions of one level, from the names of their folders."""
+    spark = log.sparkSession
+    queries = [x for x in folders(spark, f"{path}/level={level}") if x.startswith("query=")]
+    return [
+        (unescaped(query.removeprefix("query=")), int(batch.removeprefix("batch=")))
+        for query in queries
+        for batch in folders(spark, f"{path}/level={level}/{query}")
+        if batch.startswith("batch=")
+    ]
+
+
+def _finished_snapshots(log: DataFrame, path: str) -> list[tuple[str, int]]:
+    """Snapshots that were written to the end. One of several folders does not appear at one moment, its mark does."""
+    done = folders(log.sparkSession, f"{path}/{DONE}")
+    found = _partitions(log, path, "snapshot")
+    return [(covers, number) for covers, number in found if f"batch={number}" in done] if DONE in folders(log.sparkSession, path) else found
 
 
-def _last_snapshot(log: DataFrame) -> tuple[int, dict[str, int]]:
+def _last_snapshot(log: DataFrame, path: str) -> tuple[int, dict[str, int]]:
     """Number of the last snapshot (-1: none) and the last batch of each query that it covers.
 
-    What a snapshot covers is part of its partition's name, so both appear at one moment.
+    What a snapshot covers is part of its partition's name.
     """
-    covers, number = max(_partitions(log, "snapshot"), key=lambda x: x[1], default=("", -1))
+    covers, number = max(_finished_snapshots(log, path), key=lambda x: x[1], default=("", -1))
     return number, {q: int(n) for q, n in (x.split("~") for x in covers.split(",") if x)}
 
 
@@ -114,14 +138,16 @@ def _changes_after(covered: dict[str, int]) -> Column:
     return later
 
 
-def in_force(log: DataFrame) -> DataFrame:
+def in_force(log: DataFrame, path: str) -> DataFrame:
     """The last snapshot and the changes after it; other partitions are not read."""
-    number, covered = _last_snapshot(log)
+    number, covered = _last_snapshot(log, path)
     snapshot = (F.col("level") == "snapshot") & (F.col("batch") == number)
     return log.where(snapshot | _changes_after(covered)).drop(*LAYOUT)
 
 
-def compact(log: DataFrame, path: str, condense: Callable[[DataFrame], DataFrame]) -> dict[str, int] | None:
+def compact(
+    log: DataFrame, path: str, condense: Callable[[DataFrame], DataFrame], within: tuple[str, ...] = ()
+) -> dict[str, int] | None:
     """Condense all finished batches into one snapshot, which later reads start from.
 
     Returns the last batch of each query that it covers, if any. A query starts a batch only
@@ -131,8 +157,8 @@ def compact(log: DataFrame, path: str, condense: Callable[[DataFrame], DataFrame
     compactions, so the number of folders stays that of the batches of two such intervals.
     """
     spark = log.sparkSession
-    number, covered = _last_snapshot(log)
-    changes = _partitions(log, "changes")
+    number, covered = _last_snapshot(log, path)
+    changes = _partitions(log, path, "changes")
     newest: dict[str, int] = {}
     for query, batch in changes:
         newest[query] = max(batch, newest.get(query, batch))
@@ -146,13 +172,19 @@ def compact(log: DataFrame, path: str, condense: Callable[[DataFrame], DataFrame
     for query, last in finished.items():
         done = done | ((F.col("level") == "changes") & (F.col("query") == query) & (F.col("batch") > covered.get(query, -1)) & (F.col("batch") <= last))
     name = ",".join(f"{q}~{n}" for q, n in sorted(finished.items()))
-    write_batch(condense(log.where(done).drop(*LAYOUT)).withColumns(_place("snapshot", name, number + 1)), path, *LAYOUT)
+    make_folder(spark, f"{path}/{DONE}")
+    for old, batch in _partitions(log, path, "snapshot"):
+        if batch > number:  # begun and not finished
+            remove(spark, f"{path}/level=snapshot/query={old}/batch={batch}")
+    write_batch(condense(log.where(done).drop(*LAYOUT)).withColumns(_place("snapshot", name, number + 1)), path, *LAYOUT, *within)
+    make_folder(spark, f"{path}/{DONE}/batch={number + 1}")
     for query, batch in changes:
         if batch <= covered.get(query, -1):
             remove(spark, f"{path}/level=changes/query={query}/batch={batch}")
-    for old, batch in _partitions(log, "snapshot"):
+    for old, batch in _partitions(log, path, "snapshot"):
         if batch < number:
             remove(spark, f"{path}/level=snapshot/query={old}")
+            remove(spark, f"{path}/{DONE}/batch={batch}")
     return finished
 
 
