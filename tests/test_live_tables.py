@@ -1,0 +1,294 @@
+"""Keyed table, feed channel, bitmap counts, roll-ups and counters of live feeds."""
+
+import datetime as dt
+import json
+import re
+from decimal import Decimal
+
+import frames as t
+import pytest
+from pyspark.sql import functions as F
+
+from ledgermill.functions import distinct
+from ledgermill.operators import cdc
+from ledgermill.session import folders
+from ledgermill.sources import files
+from ledgermill.streaming import changes, channel, keyed, payments, sinks
+
+T0 = 1_700_000_000_000
+
+
+def _feed(folder, name, *lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def _stream(spark, folder):
+    return files.landed(payments.feed(spark, str(folder), files_per_batch=1))
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def _event(n, keys=40):
+    action = ["INSERT", "UPDATE", "UPDATE", "DELETE"][n * 7 % 4]
+    return t.envelope(n, action, f"K{n * 13 % keys}", T0 + n * 31 % 500, after=None if action == "DELETE" else t.image(f"{n}.25", customer=n))
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    keyed.create(spark, path, 8)
+    return path
+
+
+def test_keyed_rows_equal_the_batch_state_over_merges(spark, tmp_path, table):
+    everything = []
+    for part in range(7):
+        lines = [_event(n) for n in range(part * 20, part * 20 + 20)]
+        everything += lines
+        _feed(tmp_path / "in", f"{part}.json", *lines)
+        keyed.keep_rows(_stream(spark, tmp_path / "in"), table, str(tmp_path / "checkpoint")).awaitTermination()
+        keyed.merge(spark, table, fan=2)
+        want = cdc.cdc_current_state(t.landed(spark, *everything))
+        assert t.rows(keyed.rows(spark, table)) == t.rows(want)
+        some = ["K1", "K14", "nobody"]
+        assert t.rows(keyed.rows(spark, table, some)) == t.rows(want.where(F.col("row_key").isin(some)))
+    assert len(keyed.runs_in_force(spark, table)) <= 4  # a level of two runs becomes one of the next
+    stored = [f for f in folders(spark, table) if f.startswith("run=")]
+    assert len(stored) <= 12  # replaced runs are removed by the merge after
+
+
+def test_a_lookup_opens_one_bucket_of_each_run(spark, tmp_path, table):
+    for part in range(2):
+        _feed(tmp_path / "in", f"{part}.json", *[_event(n) for n in range(part * 40, part * 40 + 40)])
+        keyed.keep_rows(_stream(spark, tmp_path / "in"), table, str(tmp_path / "checkpoint")).awaitTermination()
+    found = keyed.stored_versions(spark, table, ["K5"])
+    text = plan(found)
+    assert re.search(r"PartitionFilters: \[.*bucket#\d+ = \d", text)
+    files_read = found.select(F.input_file_name()).distinct().count()
+    assert 1 <= files_read <= 2
+    every = spark.read.option("basePath", table).parquet(*[f"{table}/run={r}" for r in keyed.runs_in_force(spark, table)])
+    buckets = {r[0] for r in every.where("row_key = 'K5'").select("bucket").distinct().collect()}
+    assert len(buckets) == 1
+
+
+def test_late_update_behind_a_delete_is_refused_until_forgotten(spark, tmp_path, table):
+    batches = [
+        [t.envelope(1, "INSERT", "A", T0, after=t.image("1.00"))],
+        [t.envelope(3, "DELETE", "A", T0 + 9)],
+        [t.envelope(2, "UPDATE", "A", T0 + 5, after=t.image("2.00")), t.envelope(4, "INSERT", "B", T0, after=t.image("3.00"))],
+    ]
+    for number, lines in enumerate(batches):
+        _feed(tmp_path / "in", f"{number}.json", *lines)
+        keyed.keep_rows(_stream(spark, tmp_path / "in"), table, str(tmp_path / "checkpoint")).awaitTermination()
+        if number == 1:
+            keyed.merge(spark, table, fan=2)
+    assert t.rows(keyed.rows(spark, table), "row_key") == [("B",)]
+    keyed.merge(spark, table, everything=True)
+    assert keyed.stored_versions(spark, table, ["A"]).count() == 1  # the delete is kept
+    _feed(tmp_path / "in", "9.json", t.envelope(9, "INSERT", "C", T0 + 99, after=t.image("1.00")))
+    keyed.keep_rows(_stream(spark, tmp_path / "in"), table, str(tmp_path / "checkpoint")).awaitTermination()
+
+
+def test_old_deletes_can_be_forgotten(spark, tmp_path, table):
+    _feed(tmp_path / "in", "0.json", t.envelope(1, "DELETE", "A", T0), t.envelope(2, "DELETE", "B", T0 + 5000), t.envelope(3, "INSERT", "C", T0, after=t.image("1.00")))
+    keyed.keep_rows(_stream(spark, tmp_path / "in"), table, str(tmp_path / "checkpoint")).awaitTermination()
+    keyed.merge(spark, table, everything=True, forget=dt.datetime.fromtimestamp(T0 / 1000 + 1, dt.timezone.utc))
+    assert t.rows(keyed.stored_versions(spark, table), "row_key") == [("B",), ("C",)]
+
+
+def test_a_batch_run_again_replaces_its_run(spark, tmp_path, table):
+    """As after a failure between the rows and their mark, and after a merge that holds the batch already."""
+    _feed(tmp_path / "in", "0.json", *[_event(n) for n in range(30)])
+    checkpoint = tmp_path / "checkpoint"
+    keyed.keep_rows(_stream(spark, tmp_path / "in"), table, str(checkpoint)).awaitTermination()
+    want = t.rows(keyed.rows(spark, table))
+    (checkpoint / "commits" / "0").unlink()  # the batch is taken for unfinished
+    (checkpoint / "commits" / ".0.crc").unlink(missing_ok=True)
+    keyed.keep_rows(_stream(spark, tmp_path / "in"), table, str(checkpoint)).awaitTermination()
+    assert t.rows(keyed.rows(spark, table)) == want and len(keyed.runs_in_force(spark, table)) == 1
+    keyed.merge(spark, table, everything=True)
+    (checkpoint / "commits" / "0").unlink()
+    (checkpoint / "commits" / ".0.crc").unlink(missing_ok=True)
+    keyed.keep_rows(_stream(spark, tmp_path / "in"), table, str(checkpoint)).awaitTermination()
+    assert t.rows(keyed.rows(spark, table)) == want and len(keyed.runs_in_force(spark, table)) == 1
+
+
+def test_empty_keyed_table(spark, tmp_path, table):
+    assert keyed.rows(spark, table).count() == 0 and keyed.merge(spark, table) == []
+    _feed(tmp_path / "in", "0.json", '{"object":"x"}')
+    keyed.keep_rows(_stream(spark, tmp_path / "in"), table, str(tmp_path / "checkpoint")).awaitTermination()
+    assert keyed.rows(spark, table, ["A"]).count() == 0
+    with pytest.raises(ValueError):
+        keyed.keep_rows(_stream(spark, tmp_path / "in"), str(tmp_path / "none"), str(tmp_path / "c"))
+
+
+# channel
+
+
+def _sent(channel_name, *offsets):
+    return [json.dumps({"channel": channel_name, "offset": n, "record": {"object": "x", "transaction": {"transaction_id": n}}}) for n in offsets]
+
+
+def _run(spark, tmp_path, path):
+    channel.create(spark, path)
+    channel.keep_channel(payments.feed(spark, str(tmp_path / "in"), files_per_batch=1), path, str(tmp_path / "checkpoint")).awaitTermination()
+
+
+def _stored(spark, path):
+    return t.rows(channel.landed(spark, path), "channel", "offset")
+
+
+def test_rows_sent_again_are_stored_once(spark, tmp_path):
+    path = str(tmp_path / "channel")
+    _feed(tmp_path / "in", "0.json", *_sent("a", *range(1, 301)), *_sent("b", 1, 2, 3))
+    _run(spark, tmp_path, path)
+    assert channel.committed_offset(spark, path, "a") == 300
+    # the producer restarts and sends its last 100 rows again, some of them twice
+    _feed(tmp_path / "in", "1.json", *_sent("a", *range(201, 401), 250, 400))
+    _run(spark, tmp_path, path)
+    assert channel.committed_offset(spark, path, "a") == 400
+    assert channel.committed_offset(spark, path, "b") == 3
+    assert channel.committed_offset(spark, path, "c") == 0
+    assert _stored(spark, path) == sorted([("a", n) for n in range(1, 401)] + [("b", n) for n in (1, 2, 3)], key=repr)
+
+
+@pytest.mark.parametrize("block", [10, 100_000])
+def test_gaps_hold_the_committed_offset_back(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(channel, "BLOCK", block)
+    path = str(tmp_path / "channel")
+    for n, offsets in enumerate([range(40, 61), range(1, 20), [25, *range(22, 31)], range(20, 22), range(31, 40), [*range(35, 75)]]):
+        _feed(tmp_path / "in", f"{n}.json", *_sent("a", *offsets))
+        _run(spark, tmp_path, path)
+        seen = {o for _, o in _stored(spark, path)}
+        upto = next(k for k in range(1, 100) if k not in seen) - 1
+        last = t.one(channel.committed_offsets(spark, path))
+        assert (last.committed_offset, last.highest_offset) == (upto, max(seen))
+    assert _stored(spark, path) == sorted([("a", n) for n in range(1, 75)], key=repr)
+
+
+def test_channel_batch_run_again(spark, tmp_path):
+    path = str(tmp_path / "channel")
+    for n in range(2):
+        _feed(tmp_path / "in", f"{n}.json", *_sent("a", *range(n * 10 + 1, n * 10 + 11)))
+        _run(spark, tmp_path, path)
+    (tmp_path / "checkpoint" / "commits" / "1").unlink()
+    (tmp_path / "checkpoint" / "commits" / ".1.crc").unlink(missing_ok=True)
+    _run(spark, tmp_path, path)
+    assert _stored(spark, path) == sorted([("a", n) for n in range(1, 21)], key=repr)
+    assert channel.committed_offset(spark, path, "a") == 20
+
+
+def test_bad_channel_lines_are_left_out(spark, tmp_path):
+    path = str(tmp_path / "channel")
+    _feed(tmp_path / "in", "0.json", *_sent("a", 1), "{cut", '{"channel":"a","offset":0,"record":{}}', '{"channel":"a","offset":"x","record":{}}', '{"offset":2,"record":{}}', '{"channel":"a","offset":2}')
+    _run(spark, tmp_path, path)
+    assert _stored(spark, path) == [("a", 1)]
+    lines = spark.createDataFrame([(0, '{"x":1}'), (1, '{"x":2}')], "number long, value string")
+    good = channel.read_lines(channel.with_offsets(lines, "z"))
+    assert t.rows(good.where("good"), "channel", "offset") == [("z", 1), ("z", 2)]
+
+
+# bitmaps and roll-ups
+
+
+def test_bitmap_counts_are_exact(spark):
+    ids = [0, -1, -32767, -32768, -32769, 1, 32768, 32769, 2**40, 2**63 - 1, -(2**63), None, 5, 5, 5]
+    rows = spark.createDataFrame([("a" if n % 2 else "b", i) for n, i in enumerate(ids)] + [("c", None)], "k string, i long").repartition(3)
+    want = t.rows(rows.groupBy("k").agg(F.count_distinct("i").alias("n")))
+    assert t.rows(distinct.count_per(rows, ["k"], "i", "n")) == want
+    assert "distinct" not in plan(distinct.count_per(rows, ["k"], "i", "n"))
+
+
+def test_stored_rows_per_action_are_bounded_by_ids(spark, tmp_path):
+    lines = [t.envelope(n, "INSERT", after=t.image("1.00", customer=n % 3000 - 1500, kind="t")) for n in range(6000)]
+    _feed(tmp_path / "in", "0.json", *lines)
+    path = str(tmp_path / "sums")
+    changes.keep_partial_sums(_stream(spark, tmp_path / "in"), path, str(tmp_path / "checkpoint")).awaitTermination()
+    assert spark.read.parquet(path).count() == 2  # ids below and above zero
+    row = t.one(changes.action_summary(spark, path))
+    assert (row.transaction_count, row.unique_customers, row.avg_amount) == (6000, 3000, Decimal("1.00"))
+
+
+@pytest.fixture
+def moments(spark, tmp_path):
+    hour = 3_600_000
+    start = T0 - T0 % (24 * hour)
+    path, lines = str(tmp_path / "moments"), []
+    for part in range(3):
+        own = [t.envelope(n, ["INSERT", "UPDATE"][n % 2], at=start + (n * 7_919_333) % (96 * hour), after=t.image(f"{n}.00")) for n in range(part * 200, part * 200 + 200)]
+        lines += own
+        _feed(tmp_path / "in", f"{part}.json", *own)
+    changes.keep_moments(_stream(spark, tmp_path / "in"), path, str(tmp_path / "checkpoint")).awaitTermination()
+    return path, lines, dt.datetime.fromtimestamp((start + 96 * hour) / 1000, dt.timezone.utc)
+
+
+def test_last_hours_equal_the_batch_at_any_length(spark, moments):
+    path, lines, end = moments
+    landed = t.landed(spark, *lines)
+    for compacted in (False, True):
+        if compacted:
+            changes.compact_moments(spark, path)
+        for hours, before in ((1, 0), (5, 17), (30, 1234.567), (50, 3600), (500, 0)):
+            at = end - dt.timedelta(seconds=before)
+            assert t.rows(changes.last_hours(spark, path, at, hours)) == t.rows(cdc.cdc_recent_activity(landed, at, hours))
+
+
+def test_last_hours_open_recent_folders_only(spark, moments):
+    path, _, end = moments
+    changes.compact_moments(spark, path)
+    rows = sinks.in_force(sinks.read_log(spark, path, changes.MOMENT_COLUMNS), path)
+    since = F.unix_millis(cdc.moment(end) - F.make_dt_interval(hours=F.lit(30)))
+    chosen = rows.where(changes._since(since))
+    assert "PartitionFilters" in plan(chosen) and "grain" in plan(chosen).split("PartitionFilters", 1)[1].split("\n")[0]
+    opened = {re.sub(r".*/grain=(\w+)/day=([-\d]+)/.*", r"\1 \2", r[0]) for r in chosen.select(F.input_file_name()).distinct().collect()}
+    day = (end - dt.timedelta(hours=30)).date()
+    assert all(d >= str(day) for _, d in (x.split() for x in opened))
+    assert {g for g, d in (x.split() for x in opened) if d > str(day)} == {"day"}
+    assert chosen.count() < rows.where("grain = 'moment'").count() / 4
+
+
+def test_an_unfinished_snapshot_does_not_count(spark, moments):
+    path, lines, end = moments
+    want = t.rows(changes.last_hours(spark, path, end, 500))
+    begun = sinks.read_log(spark, path, changes.MOMENT_COLUMNS).where("grain = 'day'").drop(*sinks.LAYOUT)
+    from ledgermill.session import make_folder
+
+    make_folder(spark, f"{path}/{sinks.DONE}")
+    sinks.write_batch(begun.withColumns({"level": F.lit("snapshot"), "query": F.lit("q~7"), "batch": F.lit(0)}), path, *sinks.LAYOUT, *changes.MOMENT_LAYOUT)
+    assert t.rows(changes.last_hours(spark, path, end, 500)) == want
+    changes.compact_moments(spark, path)
+    assert t.rows(changes.last_hours(spark, path, end, 500)) == want
+
+
+def test_batches_are_listed_without_a_scan(spark, moments, monkeypatch):
+    path, *_ = moments
+    log = sinks.read_log(spark, path, changes.MOMENT_COLUMNS)
+    monkeypatch.setattr(type(log), "collect", lambda self: pytest.fail("a scan"))
+    assert len(sinks._partitions(log, path, "changes")) == 3
+    sinks.in_force(log, path)
+
+
+def _payment(number, anomaly=False, **other):
+    row = {"transaction_id": number, "customer_id": 1001, "transaction_date": "2024-05-01", "transaction_amount": 12.5, "transaction_type": "dining", "is_anomaly": anomaly}
+    return json.dumps({**row, **other})
+
+
+def test_observed_counts_equal_the_counters_over_restarts(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("rows", "counts", "checkpoint")]
+    for round_, lines in enumerate([[_payment(1, anomaly=True), "{cut"], [_payment(2), _payment(3)], [_payment(4, customer_id=None)]]):
+        _feed(tmp_path / "in", f"{round_}.json", *lines)
+        feed = payments.feed(spark, str(tmp_path / "in"))
+        payments.append_counted(feed, *paths).awaitTermination()
+        payments.keep_counters(feed, str(tmp_path / "totals"), str(tmp_path / "totals-checkpoint")).awaitTermination()
+        assert tuple(t.one(payments.counted(spark, paths[1]))) == tuple(t.one(payments.latest_counters(spark, str(tmp_path / "totals"))))
+    assert t.rows(spark.read.parquet(paths[0]), "transaction_id") == [(1,), (2,), (3,)]
+    commits = tmp_path / "checkpoint" / "commits"
+    (commits / "2").unlink()
+    (commits / ".2.crc").unlink(missing_ok=True)
+    before = tuple(t.one(payments.counted(spark, paths[1])))
+    payments.append_counted(payments.feed(spark, str(tmp_path / "in")), *paths).awaitTermination()
+    assert tuple(t.one(payments.counted(spark, paths[1]))) == before
+    assert spark.read.parquet(paths[0]).count() == 3
