@@ -51,8 +51,11 @@ def customer_360(customers: DataFrame, mortgages: DataFrame, transactions: DataF
     and grouping by the profile, also when a customer or mortgage occurs more than once:
     counts and sums scale with the copies, averages, maxima and distinct months do not.
     """
-    profiles = customer_profiles(customers, mortgages)
-    spend = spend_per_customer(transactions)
+    return with_spend(customer_profiles(customers, mortgages), spend_per_customer(transactions))
+
+
+def with_spend(profiles: DataFrame, spend: DataFrame) -> DataFrame:
+    """Customer 360 of profiles and the spending of each customer."""
     copies = F.col("copies")
     spent = (F.col("total_spent").cast("decimal(38,2)") * copies).cast("decimal(38,2)")
     return profiles.join(spend, "customer_id", "left").select(
