@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgermill import schemas
@@ -39,10 +40,13 @@ def read_lines(lines: DataFrame) -> DataFrame:
 
 def stored_rows(lines: DataFrame) -> DataFrame:
     """Good rows as they are stored: source named, both timestamps the time of arrival."""
+    return as_stored(read_lines(lines))
+
+
+def as_stored(typed: DataFrame) -> DataFrame:
     now = F.current_timestamp()
     return (
-        read_lines(lines)
-        .where("sent")
+        typed.where("sent")
         .drop("sent", "is_anomaly")
         .withColumns({"data_source": F.lit("STREAMING"), "ingestion_timestamp": now, "created_at": now})
     )
@@ -137,3 +141,45 @@ def latest_counters(spark: SparkSession, path: str) -> DataFrame:
     names = ["total_transactions", "successful_sends", "failed_sends", "anomalies"]
     totals = kept.join(last, ["query", "batch"]).agg(*[F.sum(c).alias(c) for c in names])
     return with_rates(totals.where("total_transactions IS NOT NULL"))
+
+
+COUNTED = ["total_transactions", "successful_sends", "failed_sends", "anomalies"]
+_COUNTED_COLUMNS = ", ".join(f"{c} bigint" for c in COUNTED) + ", query string, batch bigint"
+
+
+def append_counted(
+    lines: DataFrame, path: str, counts: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Store the good rows and count all, in the same pass: the counts are observed while the rows are written.
+
+    Rows and counts are partitions named by query and batch, so a batch that is run again after a failure replaces
+    both and nothing counts twice.
+    """
+    known, started = [], threading.Event()
+
+    def keep(batch: DataFrame, number: int) -> None:
+        started.wait()
+        spark = batch.sparkSession
+        place = {"query": F.lit(known[0]), "batch": F.lit(number).cast("bigint")}
+        seen = Observation("feed")
+        typed = read_lines(batch).observe(
+            seen,
+            F.count(F.lit(1)).alias("total_transactions"),
+            F.count_if("sent").alias("successful_sends"),
+            F.count_if(~F.col("sent")).alias("failed_sends"),
+            F.count_if(F.coalesce("is_anomaly", F.lit(False))).alias("anomalies"),
+        )
+        sinks.write_batch(as_stored(typed).withColumns(place), path, "query", "batch")
+        row = spark.createDataFrame([tuple(seen.get[c] for c in COUNTED)], ", ".join(f"{c} bigint" for c in COUNTED))
+        sinks.write_batch(row.coalesce(1).withColumns(place), counts, "query", "batch")
+
+    query = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(keep).trigger(**(trigger or sinks.ONCE)).start()
+    known.append(query.id)
+    started.set()
+    return query
+
+
+def counted(spark: SparkSession, counts: str) -> DataFrame:
+    """Totals and rates of all micro-batches so far."""
+    kept = spark.read.schema(_COUNTED_COLUMNS).parquet(counts)
+    return with_rates(kept.agg(*[F.sum(c).alias(c) for c in COUNTED]).where("total_transactions IS NOT NULL"))
