@@ -113,7 +113,7 @@ def load_summary(transactions: DataFrame) -> DataFrame:
     """Rows, amount and anomalies of a load that carries ``is_anomaly``; fine on no rows."""
     totals = transactions.agg(
         F.count("*").alias("total_transactions"),
-        F.coalesce(F.sum("transaction_amount"), F.lit(0)).cast("decimal(20,2)").alias("total_amount"),
+        F.coalesce(F.sum(F.col("transaction_amount").cast("decimal(28,2)")), F.lit(0)).cast("decimal(38,2)").alias("total_amount"),
         F.count_if("is_anomaly").alias("anomalies"),
     )
     return totals.withColumn(
