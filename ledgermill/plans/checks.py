@@ -7,13 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgermill.functions import envelope as env
+from ledgermill.functions import distinct, envelope as env
 from ledgermill.operators import cdc, dashboard, governance, marts, mortgages, quality, rules, staging
-from ledgermill.plans import models
+from ledgermill.plans import models, refresh, sql_functions
 from ledgermill.plans.report import plain
 from ledgermill.session import name_folder, pin_utc, scratch
-from ledgermill.sources import files, given, stores
-from ledgermill.streaming import changes, payments, sinks
+from ledgermill.sources import files, given, loads, stores
+from ledgermill.streaming import changes, channel, keyed, payments, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -588,3 +588,126 @@ def stream_current_state(spark, folder):
     changes.keep_versions(given.cdc_stream(spark, folder), f"{out}/table", f"{out}/checkpoint").awaitTermination()
     changes.compact_versions(spark, f"{out}/table")
     return changes.current_state(spark, f"{out}/table")
+
+
+# a table of current rows by key
+
+
+def _keyed(spark, folder):
+    """Three micro-batches, merged as soon as there are two of a level."""
+    out = scratch(spark, "keyed")
+    keyed.create(spark, f"{out}/table", 16)
+    keyed.keep_rows(given.cdc_stream(spark, folder), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    keyed.merge(spark, f"{out}/table", fan=2)
+    return f"{out}/table"
+
+
+@query
+def keyed_current_state(spark, folder):
+    return keyed.rows(spark, _keyed(spark, folder))
+
+
+LOOKED_UP = ["K1", "K2", "K3", "K5", "K8", "K13", "K21", "K999999999"]
+
+
+@query
+def keyed_lookup(spark, folder):
+    return keyed.rows(spark, _keyed(spark, folder), LOOKED_UP)
+
+
+@query
+def channel_offsets(spark, folder):
+    """A producer that sends half, then its last 100 rows and the other half, then everything once more."""
+    out = scratch(spark, "channel")
+    lines = given.channel_lines(spark, folder)
+    middle = lines.agg(F.percentile_approx("event_id", 0.5)).scalar()
+    sent = [
+        lines.where(F.col("event_id") < middle),
+        lines.where(F.col("event_id") >= middle - 100),
+        lines,
+    ]
+    channel.create(spark, f"{out}/table")
+    for part in sent:
+        part.select("value").repartition(2).write.mode("append").text(f"{out}/feed")
+        feed = payments.feed(spark, f"{out}/feed", files_per_batch=1)
+        channel.keep_channel(feed, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    stored = channel.landed(spark, f"{out}/table")
+    records = stored.groupBy("channel").agg(F.count("*").alias("records"), F.sum(env.Envelope().event_id()).alias("id_sum"))
+    return channel.committed_offsets(spark, f"{out}/table").join(records, "channel")
+
+
+# exact distinct counts from bitmaps
+
+
+@query
+def source_customers(spark, folder):
+    return distinct.count_per(given.transactions(spark, folder), ["data_source"], "customer_id", "unique_customers")
+
+
+# marts that follow changes
+
+
+def _refreshed(spark, folder):
+    path = scratch(spark, "refresh")
+    raw = given.raw(spark, folder)
+    stg = models.staging_models(raw)
+    before, changes_ = given.transactions_before(spark, folder)
+    refresh.build({**stg, "stg_transactions": staging.stg_transactions(before)}, path, 16)
+    images = {}
+    for side in ("old", "new"):
+        rows = staging.stg_transactions(changes_.where(F.col(side).isNotNull()).select(f"{side}.*"))
+        images[side] = rows.select(F.struct(*rows.columns).alias(side))
+    signed = images["old"].withColumn("new", F.lit(None).cast(images["new"].schema["new"].dataType))
+    signed = signed.unionByName(images["new"], allowMissingColumns=True)
+    refresh.refresh(signed, stg["stg_transactions"], path, 16)
+    return path
+
+
+@query
+def refreshed_transaction_summary(spark, folder):
+    return refresh.stored_summary(spark, _refreshed(spark, folder))
+
+
+@query
+def refreshed_customer_360(spark, folder):
+    return refresh.stored_customer_360(spark, _refreshed(spark, folder), buckets=16)
+
+
+@query
+def load_once(spark, folder):
+    """A folder that grows, loaded three times."""
+    out = scratch(spark, "loads")
+    rows = given.transactions(spark, folder).drop("ingestion_timestamp", "created_at")
+    for part in (0, 1):
+        rows.where(F.col("transaction_id") % 2 == part).repartition(3).write.mode("append").json(f"{out}/folder")
+        loads.load_new(spark, f"{out}/folder", f"{out}/table", files.load_transactions_json)
+    loads.load_new(spark, f"{out}/folder", f"{out}/table", files.load_transactions_json)
+    return loads.loaded_rows(spark, f"{out}/table").drop("ingestion_timestamp", "created_at")
+
+
+@query
+def sql_metric_scan(spark, folder):
+    given.transactions(spark, folder).createOrReplaceTempView("transactions_to_scan")
+    scan = sql_functions.metric_scan_function(spark, "transactions_to_scan")
+    return spark.sql(f"SELECT * FROM {scan}('core.BLANK_COUNT', 'transaction_type')")
+
+
+@query
+def policy_views(spark, folder):
+    given.customers(spark, folder).createOrReplaceTempView("customers_behind_policies")
+    sql_functions.create_role_variable(spark)
+    sql_functions.create_policies(spark)
+    sql_functions.masked_views(
+        spark,
+        {"customers_by_policy": "customers_behind_policies"},
+        [("customers_by_policy", column, policy) for _, column, policy in sql_functions.ATTACHED],
+    )
+    spark.sql("SET VAR reader_role = 'data_analyst_role'")
+    return spark.table("customers_by_policy").drop("created_at")
+
+
+@query
+def stream_counted(spark, folder):
+    out = scratch(spark, "counted")
+    payments.append_counted(_payment_feed(spark, folder), f"{out}/table", f"{out}/counts", f"{out}/checkpoint").awaitTermination()
+    return payments.counted(spark, f"{out}/counts")

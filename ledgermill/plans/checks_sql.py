@@ -462,3 +462,17 @@ SQL: dict[str, str] = {
 }
 SQL |= {"stored_cdc_recent_activity": _RECENT, "stored_cdc_action_summary": _ACTIONS}
 SQL |= {"published_customer_360": SQL["customer_360"], "published_transaction_summary": SQL["transaction_summary"]}
+SQL |= {
+    "keyed_current_state": _STATE,
+    "keyed_lookup": f"SELECT * FROM ({_STATE}) WHERE row_key IN ('K1', 'K2', 'K3', 'K5', 'K8', 'K13', 'K21', 'K999999999')",
+    "channel_offsets": """WITH e AS (SELECT event_id, event_id - MIN(event_id) OVER () AS place FROM events)
+  SELECT 'c' || place % 2 AS channel, MAX(place // 2) + 1 AS committed_offset, MAX(place // 2) + 1 AS highest_offset,
+    COUNT(*) AS records, CAST(SUM(event_id) AS BIGINT) AS id_sum FROM e GROUP BY ALL""",
+    "source_customers": f"WITH {TX} SELECT data_source, COUNT(DISTINCT customer_id) AS unique_customers FROM tx GROUP BY data_source",
+    "refreshed_transaction_summary": SQL["transaction_summary"],
+    "refreshed_customer_360": SQL["customer_360"],
+    "load_once": SQL["load_transactions_json"],
+    "sql_metric_scan": SQL["blank_rows"],
+    "policy_views": SQL["masked_view"],
+    "stream_counted": SQL["stream_counters"],
+}

@@ -229,6 +229,54 @@ def cdc_stream(spark: SparkSession, folder: str, n_files: int = 3) -> DataFrame:
     return _records(events_stream(spark, folder, n_files))
 
 
+def channel_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as lines of two feed channels, each numbered from 1 without a gap: columns ``event_id`` and ``value``."""
+    lines = envelope_lines(events(spark, folder))
+    number = F.get_json_object("value", "$.transaction.transaction_id").cast("bigint")
+    numbered = lines.select("value", number.alias("event_id"))
+    first = numbered.agg(F.min("event_id")).scalar()
+    place = F.col("event_id") - first
+    return numbered.select(
+        "event_id",
+        F.concat(
+            F.lit('{"channel":"c'), (place % 2).cast("string"), F.lit('","offset":'), (F.floor(place / 2) + 1).cast("string"),
+            F.lit(',"record":'), F.col("value"), F.lit("}"),
+        ).alias("value"),
+    )
+
+
+def transactions_before(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The transactions as they were before a day of changes, and the changes that lead to ``transactions``.
+
+    A tenth of the rows is new, a tenth had another customer, day, type and amount, and rows numbered below zero are deleted;
+    some of these were the largest or last of their group. The changes are structs ``old`` and ``new``.
+    """
+    now = transactions(spark, folder)
+    tenth = F.pmod(F.col("transaction_id"), F.lit(10))
+    changed = now.where(tenth == 1)
+    was = changed.withColumns(
+        {
+            "customer_id": F.col("customer_id") + F.col("transaction_id") % 3,
+            "transaction_date": F.date_sub("transaction_date", (F.col("transaction_id") % 70).cast("int")),
+            "transaction_amount": (F.col("transaction_amount") * F.lit("1.50").cast("decimal(3,2)")).cast("decimal(10,2)"),
+            "transaction_type": F.when(F.col("transaction_id") % 4 == 1, "older").otherwise(F.col("transaction_type")),
+        }
+    )
+    gone = now.where(tenth == 2).withColumns(
+        {
+            "transaction_id": -F.col("transaction_id"),
+            "transaction_amount": F.when(F.col("transaction_id") % 3 == 1, F.col("transaction_amount") + 40_000).otherwise(F.col("transaction_amount")).cast("decimal(10,2)"),
+            "transaction_date": F.last_day("transaction_date"),
+        }
+    )
+    before = now.where((tenth != 0) & (tenth != 1)).unionByName(was).unionByName(gone)
+    image = lambda rows, name: rows.select("transaction_id", F.struct(*rows.columns).alias(name))
+    nothing = F.lit(None).cast(now.schema)
+    changes = image(was, "old").join(image(changed, "new"), "transaction_id").select("old", "new")
+    changes = changes.unionByName(image(now.where(tenth == 0), "new").select(nothing.alias("old"), "new"))
+    return before, changes.unionByName(image(gone, "old").select("old", nothing.alias("new")))
+
+
 def feed_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Envelope lines of which some are cut short, so that they are no JSON, and some have no usable commit time."""
     lines = envelope_lines(events(spark, folder))
