@@ -1,11 +1,12 @@
 """Removal of repeated runs of lines, by prefix doubling over the sequence of line ids.
 
-The suffixes of all documents' line sequences are ordered by their first line, then by their first 2, 4, ... lines: the
+The suffixes of all documents' line sequences are ordered by their first line, then by their first 2, 4, 8, ... lines: the
 pair (rank here, rank so many lines on) is the next key. Ranks are places in the order over the whole corpus, found by
 range partitioning and running sums. Suffixes whose key is their own are settled and leave; the others are the intervals
-of the suffix array whose longest common prefix is that long. At MIN_LINES lines an interval is a set of copies of one run:
-all but the first in the order of doc_id and line are later copies, and the union of their lines is what the maximal
-repeated runs hold. Doubling stops there, since deeper intervals lie inside these.
+of the suffix array whose longest common prefix is at least that long. Doubling ends when no interval is left, so
+a run of n lines takes about log2(n) rounds, each over what is still shared. Intervals of MIN_LINES lines and more hold the
+copies of one run: all but the first in the order of doc_id and line are later copies, and a line goes if a later copy
+covers it. Of each suffix the deepest interval in which it is a later copy is kept.
 
 Blank lines are no part of a sequence and are never removed. Lines compare by 128 bits of their exact text.
 Rows: null text holds one blank line; of rows equal in doc_id and text the first counts, the others are later copies;
@@ -47,34 +48,56 @@ def _ranked(groups: DataFrame, keys: list[str]) -> DataFrame:
     return slabs.join(F.broadcast(before), "slab").withColumn("rank", F.col("before") + own).drop("slab", "before", "n")
 
 
-def later_copies(rows: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """k1, k2 and the places, in the row's sequence, at which a later copy of `min_lines` lines starts.
-    rows: as keyed() gives them."""
+def intervals(rows: DataFrame, min_lines: int = MIN_LINES) -> list[tuple[int, DataFrame]]:
+    """(depth, suffixes) of every round from `min_lines` on: k1, k2, at (place in the row's sequence), rank of the interval, and
+    first, the earliest of its suffixes as (doc_id, k1, k2, at). Depths are `min_lines` times 1, 2, 4, ... rows: as keyed()
+    gives them."""
     lines = rows.select("k1", "k2", "doc_id", F.posexplode(F.transform(_sequence(F.col("text")), lambda l: l["x"])).alias("at", "body"))
     now = lines.select("k1", "k2", "doc_id", "at", F.xxhash64("body").alias("a"), F.xxhash64("body", F.lit(1)).alias("b"))
     keys, depth = ["a", "b"], 1  # hashes of a line at first, then ranks of a run and of the run behind it
     here = F.struct("doc_id", "k1", "k2", "at")
-    while depth < min_lines:
-        again = now.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
-        ranked = written(now.join(_ranked(again, keys), keys).select("k1", "k2", "doc_id", "at", "rank"))
-        step = min(depth, min_lines - depth)
+    found = []
+    while True:
+        again = now.groupBy(*keys).agg(F.count("*").alias("n"), F.min(here).alias("first")).filter("n > 1")
+        ranked = written(now.join(_ranked(again, keys), keys).select("k1", "k2", "doc_id", "at", "rank", "first"))
+        if ranked.isEmpty():
+            return found
+        if depth >= min_lines:
+            found.append((depth, ranked))
+        step = depth if depth >= min_lines else min(depth, min_lines - depth)
         ahead = Window.partitionBy("k1", "k2").orderBy("at").rangeBetween(step, step)
         # where a sequence ends before, or goes on with a settled suffix, no longer run starts
-        now = ranked.withColumn("b", F.max("rank").over(ahead)).filter("b IS NOT NULL").withColumnRenamed("rank", "a")
+        now = ranked.drop("first").withColumn("b", F.max("rank").over(ahead)).filter("b IS NOT NULL").withColumnRenamed("rank", "a")
         depth += step
-    copies = now.groupBy(*keys).agg(F.count("*").alias("n"), F.min(here).alias("first")).filter("n > 1")
-    later = now.join(copies, keys).filter(~here.eqNullSafe(F.col("first")))
-    return later.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("at")).alias("places"))
 
 
-def _kept(text: str | None, places: list[int] | None, copy: int, min_lines: int) -> tuple[list[str], list[tuple[int, int]]]:
+def later_copies(rows: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+    """k1, k2 and places: where, in the row's sequence, a later copy starts, and the lines of the deepest interval it is one of."""
+    here = F.struct("doc_id", "k1", "k2", "at")
+    later = None
+    for depth, shared in intervals(rows, min_lines):
+        own = shared.filter(~here.eqNullSafe(F.col("first"))).select("k1", "k2", "at", F.lit(depth).alias("lines"))
+        later = own if later is None else later.unionByName(own)
+    if later is None:
+        return rows.sparkSession.createDataFrame([], "k1 long, k2 long, places array<struct<at: int, lines: int>>")
+    deepest = later.groupBy("k1", "k2", "at").agg(F.max("lines").alias("lines"))
+    return deepest.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("at", "lines"))).alias("places"))
+
+
+def _kept(text: str | None, places: list[dict] | None, copy: int, min_lines: int) -> tuple[list[str], list[tuple[int, int]]]:
     """Lines that stay, and the maximal removed runs as (first line number, lines)."""
     every = (text or "").split("\n")
     if not places and copy == 1:
         return every, []
     sequence = [i for i, x in enumerate(every) if x.strip(_BLANK)]
-    starts = places or [] if copy == 1 else range(len(sequence) - min_lines + 1)
-    gone = sorted({sequence[p + d] for p in starts for d in range(min_lines)})
+    if copy > 1:
+        taken = range(len(sequence)) if len(sequence) >= min_lines else ()
+    else:
+        taken, past = [], 0  # places come in order, so what one covers beyond the last is all that is new
+        for p in places or []:
+            taken += range(max(past, p["at"]), p["at"] + p["lines"])
+            past = max(past, p["at"] + p["lines"])
+    gone = [sequence[n] for n in taken]
     place = {i: n for n, i in enumerate(sequence)}
     runs: list[tuple[int, int]] = []
     for i in gone:

@@ -105,3 +105,35 @@ def test_ranks_are_places_in_the_order(spark):
     for key in sorted(sizes):
         want[key], before = before, before + sizes[key]
     assert got == want
+
+
+def test_intervals_of_every_depth_as_by_brute_force(odd_rows):
+    """All suffixes that share their first 2, 4, 8, ... lines with another, and the first of each group."""
+    from ledgermill.llm.store import keyed
+
+    rng = random.Random(7)
+    passages = [[f"p{n} {i} {rng.choice('ab')}" for i in range(size)] for n, size in enumerate((3, 6, 11, 40))]
+    texts = []
+    for _ in range(25):
+        own = []
+        for _ in range(rng.randint(0, 3)):
+            own += [rng.choice("xyz") for _ in range(rng.randint(0, 4))]
+            passage = rng.choice(passages)
+            own += passage[rng.randint(0, 3) : len(passage) - rng.randint(0, 3)]
+        texts.append("\n".join(own))
+    rows = keyed(odd_rows(list(enumerate(texts)))).cache()
+    number = {(r.k1, r.k2): r.doc_id for r in rows.select("k1", "k2", "doc_id").collect()}
+    got = {d: {(number[r.k1, r.k2], r["at"]): (r["first"].doc_id, r["first"]["at"]) for r in found.collect()} for d, found in lines.intervals(rows)}
+    want, depth = {}, 2
+    split = [[x for x in t.split("\n") if x.strip()] for t in texts]
+    while True:
+        groups = defaultdict(list)
+        for n, own in enumerate(split):
+            for i in range(len(own) - depth + 1):
+                groups[tuple(own[i : i + depth])].append((n, i))
+        shared = {s: min(g) for g in groups.values() if len(g) > 1 for s in g}
+        if not shared:
+            break
+        want[depth] = shared
+        depth *= 2
+    assert got == want and max(want) >= 16
