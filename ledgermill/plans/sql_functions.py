@@ -16,7 +16,7 @@ from ledgermill.functions import fixed
 ROLE = "reader_role"
 
 _STEWARD = f"coalesce(upper({ROLE}) = '{fixed.STEWARD_ROLE}', false)"
-#: name, and what a value becomes for everybody but the steward
+#: name, and what a value becomes for everybody but the steward (names and hidden forms are fixed values)
 POLICIES = {
     "mask_last_name": f"'{fixed.HIDDEN_NAME}'",
     "mask_phone_partial": f"concat('{fixed.HIDDEN_PHONE_PREFIX}', right(value, 4))",
