@@ -21,25 +21,44 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 class Memo(dict):
-    """Results by word, at most `limit` bytes of them: when these are reached it starts anew. Words of more than LONGEST
-    letters are not kept, so texts without spaces between words cannot fill it with long runs."""
+    """Results by word, at most `limit` bytes of them, in two generations: when the young one holds half of the limit it becomes
+    the old one, and the old one goes. Words found in the old one are young again, so frequent words stay. Words of more than
+    LONGEST letters are not kept, so texts without spaces between words cannot fill it with long runs."""
 
     LONGEST = 48
-    #: bytes of an entry beside its letters (four bytes each at most) and its result
-    ENTRY = 200
+    #: bytes of an entry beside its letters and its result
+    ENTRY = 150
 
     def __init__(self, limit: int):
         super().__init__()
-        self.limit, self.held = limit, 0
+        self.limit, self.held, self.old = limit, 0, {}
 
-    def keep(self, word: str, result: bytes) -> None:
-        if len(word) > self.LONGEST:
+    @classmethod
+    def bytes_of(cls, results: dict[str, bytes]) -> int:
+        return cls.ENTRY * len(results) + len("".join(results).encode()) + sum(map(len, results.values()))
+
+    def keep(self, results: dict[str, bytes]) -> None:
+        if max(map(len, results), default=0) > self.LONGEST:
+            results = {word: result for word, result in results.items() if len(word) <= self.LONGEST}
+        size = self.bytes_of(results)
+        if 2 * size > self.limit:
             return
-        self.held += self.ENTRY + 4 * len(word) + len(result)
-        if self.held > self.limit:
+        if 2 * (self.held + size) > self.limit:
+            self.old, self.held = dict(self), 0
             self.clear()
-            self.held = self.ENTRY + 4 * len(word) + len(result)
-        self[word] = result
+        self.held += size
+        self.update(results)
+
+    def again(self, word: str) -> bytes | None:
+        """The result of a word that is not in the young generation, if the old one has it."""
+        result = self.old.get(word)
+        if result is not None:
+            self.keep({word: result})
+        return result
+
+    def forget(self) -> None:
+        self.clear()
+        self.held, self.old = 0, {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:

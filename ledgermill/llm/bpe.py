@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ledgermill.llm.arrays import Memo, slices
 
 #: bytes of a worker's memo of words, and of that of stretches between spaces
-MEMO = 64 << 20
+MEMO = 160 << 20
 #: entries of the memo of pairs; each is of one size
 PAIRS = 500_000
 SCHEMA = "doc_id long, n_tokens long, ids binary, decoded string"
@@ -102,7 +102,7 @@ class Codec:
 
     def word(self, word: str) -> bytes:
         """ids of one word as little-endian 32-bit integers."""
-        found = self.words.get(word)
+        found = self.words.get(word) or self.words.again(word)
         if found is None:
             data = word.encode("utf-8")
             last: list[tuple[int, int] | None] = [None] * (len(data) + 1)
@@ -119,7 +119,7 @@ class Codec:
                 ids.append(token)
                 end -= size
             found = np.array(ids[::-1], "<u4").tobytes()
-            self.words.keep(word, found)
+            self.words.keep({word: found})
         return found
 
     def _settle(self, last: list, tokens: list[tuple[int, int]], end: int) -> None:
@@ -138,9 +138,11 @@ class Codec:
         out, chunks = [b"".join(map(self.word, _WORD.findall(head)))], self.chunks
         for chunk in rest:
             ids = chunks.get(chunk)
+            if ids is None:
+                ids = chunks.again(chunk)
             if ids is None:
                 ids = b"".join(map(self.word, _WORD.findall(" " + chunk)))
-                chunks.keep(chunk, ids)
+                chunks.keep({chunk: ids})
             out.append(ids)
         return b"".join(out)
 

@@ -29,8 +29,8 @@ LENGTH = 2048
 END = 0
 #: pieces packed by one task at a time
 GROUP = 20_000
-#: bytes of a worker's memo of encoded runs, and half of that for the words in them
-MEMO = 64 << 20
+#: bytes of a worker's memo of words, and half of that for runs of words and signs while a partition is read
+MEMO = 128 << 20
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = f"{_PIECES}, sequence_id long, offset long, room long"
@@ -54,7 +54,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known, self.plain = Memo(MEMO), Memo(MEMO // 2)
+        self.known, self.plain = Memo(MEMO // 2), Memo(MEMO)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -64,8 +64,9 @@ class Encoder:
 
     def _learned(self, new: set[str]) -> dict[str, bytes]:
         """ids of runs that are not known yet."""
-        parts = {run: found.groups() for run in new if (found := _SIMPLE.fullmatch(run))}
-        plain = {w: self.plain.get(w) for w in {x for word, signs in parts.values() for x in (word.lower(), signs)}}
+        parts = {run: (found[1].lower(), found[2]) for run in new if (found := _SIMPLE.fullmatch(run))}
+        wanted = {x for both in parts.values() for x in both}
+        plain = {w: self.plain.old.get(w) for w in wanted if w not in self.plain}
         words = [w for w, ids in plain.items() if ids is None and w and w[0].isalpha()]
         joined = [" ".join(words[at : at + JOINED]) for at in range(0, len(words), JOINED)]
         for some, got in zip(joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
@@ -75,10 +76,13 @@ class Encoder:
             plain.update(zip(some.split(), (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
         for signs in [w for w, ids in plain.items() if ids is None]:
             plain[signs] = self._bytes(signs) if signs else b""
-        for word, ids in plain.items():
-            if word not in self.plain:
-                self.plain.keep(word, ids)
-        out = {run: plain[word.lower()] + plain[signs] for run, (word, signs) in parts.items()}
+        self.plain.keep(plain)
+        of = self.plain.__getitem__
+        try:
+            out = {run: of(word) + of(signs) for run, (word, signs) in parts.items()}
+        except KeyError:  # a word too long to keep, or a new generation
+            of = lambda w: (plain if w in plain else self.plain if w in self.plain else self.plain.old)[w]
+            out = {run: of(word) + of(signs) for run, (word, signs) in parts.items()}
         other = list(new - parts.keys())
         for at in range(0, len(other), 1024):
             some = other[at : at + 1024]
@@ -93,11 +97,15 @@ class Encoder:
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            fresh = self._learned({w for w in words if w not in self.known})
-            ids = b"".join([fresh[w] if w in fresh else self.known[w] for w in words])
-            for run, of_run in fresh.items():
-                self.known.keep(run, of_run)
-            return ids
+            missing = {w for w in words if w not in self.known}
+            fresh = {w: ids for w in missing if (ids := self.known.old.get(w)) is not None}
+            fresh |= self._learned(missing - fresh.keys())
+            self.known.keep(fresh)
+            try:
+                return b"".join(map(self.known.__getitem__, words))
+            except KeyError:  # a run too long to keep, or a new generation
+                known, old = self.known, self.known.old
+                return b"".join([(fresh if w in fresh else known if w in known else old)[w] for w in words])
 
 
 @cache
@@ -132,6 +140,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
                 ],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        own.known.forget()  # quickly made again from the words
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _PIECES)
 

@@ -131,6 +131,6 @@ def test_memos_are_bounded_in_bytes(monkeypatch, kind):
         assert codec.encode(t) == ids_of(LIBRARY, t)
         assert encoder.encode(t) == ids_of(WORD_LIBRARY, t)
     for memo in (codec.words, codec.chunks, encoder.known, encoder.plain):
-        held = sum(memo.ENTRY + 4 * len(k) + len(v) for k, v in memo.items())
-        assert held == memo.held <= limit
+        young, old = memo.bytes_of(memo), memo.bytes_of(memo.old)
+        assert young <= memo.held and young + old <= limit
         assert kind == "words" or max(map(len, memo), default=0) <= memo.LONGEST
