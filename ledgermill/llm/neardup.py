@@ -2,8 +2,8 @@
 
 A text is a weighted set of its shingles of five words (all its words, if fewer): how often the shingle occurs, times its
 inverse document frequency idf = (1 + log(1 / share)) / (1 + log(1 / COMMON)), where share is the part of all documents that
-hold the shingle, COMMON at least: a shingle in no more than COMMON of the documents weighs 1. For each of the SAMPLES
-hash functions the improved consistent weighted sampling scheme draws one (shingle, level); two texts draw the same with
+hold the shingle. Every shingle is counted, exactly and over all rows: one in a single document weighs most, one in COMMON of
+them weighs 1, one in all of them least. For each of the SAMPLES hash functions the improved consistent weighted sampling scheme draws one (shingle, level); two texts draw the same with
 the probability of their weighted Jaccard similarity. Bands of ROWS samples are matched, matches are verified by the exact
 weighted Jaccard similarity of the whole texts, and texts linked by SIMILAR or more form a class, chains included.
 
@@ -33,12 +33,10 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
-#: shingles in a larger share of all documents weigh less
+#: the share of all documents at which a shingle weighs 1; above 1 document counts are left out and every shingle weighs 1
 COMMON = 0.05
-#: a document count may be short by this share of all documents
-SHORT = 0.005
-#: shingles that a task counts at a time
-COUNT_BATCH = 3_000_000
+#: texts are counted in batches of about this many bytes, and of at most as many texts
+BATCH_BYTES, BATCH_TEXTS = 4 << 20, 100_000
 #: In how many places the samples of a pair must agree. Texts of similarity 0.8 agree in 51 of 64 places on average; 36 is
 #: 4.7 deviations below.
 AGREE = 36
@@ -50,6 +48,8 @@ BLOCK = 2048
 SHINGLES = 512
 _U = np.uint64
 _BITS, _MASK = _U(44), _U((1 << 44) - 1)
+#: a 44-bit hash travels as its highest 12 bits, once for many, and its 32 low ones
+_LOW, _HEADS = _U(32), 1 << 12
 _DRAWS = 1 << 16
 _SIGNS = ("bands", "sketch", "total", "cells", "unit")
 
@@ -62,9 +62,16 @@ class _Draws:
         self.r = rng.gamma(2.0, 1.0, _DRAWS).astype(np.float32)
         self.c = np.log(rng.gamma(2.0, 1.0, _DRAWS)).astype(np.float32)
         self.b = rng.random(_DRAWS).astype(np.float32)
-        self.plain = self.c - self.r * (1 - self.b)  # for weight 1, whose level is 0
         self.odd = rng.integers(1, 2**63, SAMPLES, dtype=np.uint64) | _U(1)
 
+    def levels(self, log: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Levels of weights, given as logarithms, for the draws at some places."""
+        return np.floor(log / self.r[at] + self.b[at])
+
+    def values(self, log: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """What is compared: the smallest value of a text is its sample."""
+        return self.c[at] - self.r[at] * (self.levels(log, at) - self.b[at] + 1)
+
 
 _DRAWN = _Draws()
 
@@ -80,10 +87,17 @@ def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Weights:
-    """Inverse document frequencies: the common shingles (44-bit hashes, sorted) and their weights; all others weigh 1."""
+    """Inverse document frequencies. A shingle's weight follows from the number of documents that hold it, out of `total`, where
+    that number is at hand; else from a list of shingles (44-bit hashes, sorted) and their weights, all others weighing 1."""
 
-    def __init__(self, codes: list[int], weights: list[float]):
-        self.codes, self.weights = np.array(codes, np.uint64), np.array(weights, float)
+    def __init__(self, codes: list[int], weights: list[float], total: int = 0):
+        self.codes, self.weights, self.total = np.array(codes, np.uint64), np.array(weights, float), total
+        self.unit = 1 + np.log(1 / COMMON) if COMMON <= 1 else None
+
+    def by_documents(self, documents: np.ndarray) -> np.ndarray:
+        if self.unit is None:
+            return np.ones(len(documents))
+        return (1 + np.log(self.total / np.minimum(documents, self.total))) / self.unit
 
     def of(self, codes: np.ndarray) -> np.ndarray:
         if not len(self.codes):
@@ -92,44 +106,95 @@ class Weights:
         return np.where(self.codes[at] == codes, self.weights[at], 1.0)
 
 
-def weights(docs: DataFrame) -> Weights:
-    """Document frequencies of the common shingles, over all documents.
+def _distinct(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and 44-bit hash of every distinct shingle of a text, row after row and sorted, and how often it occurs."""
+    codes, row = shingles(Words(texts))
+    keys, times = np.unique((row.astype(np.uint64) << _BITS) | (codes & _MASK), return_counts=True)
+    return (keys >> _BITS).astype(np.int64), keys & _MASK, times
 
-    A task counts batches of documents and gives the counts that reach SHORT of a batch, so a sum is short by less than
-    SHORT of all documents. What is fetched are shingles in COMMON of the documents or more: at most the mean number of
-    shingles of a document, divided by COMMON - however many documents there are."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, size, rows = [], 0, 0
-
-        def give() -> pa.RecordBatch:
-            codes, count = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.uint64), return_counts=True)
-            often = count >= SHORT * rows
-            return pa.RecordBatch.from_arrays([pa.array(codes[often].astype(np.int64)), pa.array(count[often].astype(np.int64))], names=["code", "n"])
-
-        for batch in slices(batches):
-            codes, row = shingles(Words(batch.column("text")))
-            each = np.unique((row.astype(np.uint64) << _BITS) | (codes & _MASK))
-            keys.append(each & _MASK)
-            size, rows = size + len(each), rows + batch.num_rows
-            if size >= COUNT_BATCH:
-                yield give()
-                keys, size, rows = [], 0, 0
-        if rows:
-            yield give()
-
-    total = docs.count()
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "code long, n long")
-    common = counts.groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") > COMMON * total).collect()
-    found = sorted((r.code, (1 + np.log(total / min(r.n, total))) / (1 + np.log(1 / COMMON))) for r in common)
-    return Weights([c for c, _ in found], [w for _, w in found])
+def _lists(values: np.ndarray, row: np.ndarray, n: int) -> pa.ListArray:
+    """The values of each of n rows; row: sorted, one for each value."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
+def _flat(lists: pa.ChunkedArray | pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists, and the row of each."""
+    size = np.asarray(lists.value_lengths()) if isinstance(lists, pa.ListArray) else np.concatenate([np.zeros(0, np.int64), *[c.value_lengths() for c in lists.chunks]])
+    values = lists.flatten() if isinstance(lists, pa.ListArray) else np.concatenate([np.zeros(0, np.int32), *[c.flatten() for c in lists.chunks]])
+    return np.asarray(values), np.repeat(np.arange(len(size)), size.astype(np.int64))
+
+
+def _codes(head: pa.ChunkedArray, low: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """44-bit hashes out of their two parts, and the row of each."""
+    values, row = _flat(low)
+    heads = np.asarray(head).astype(np.uint64)
+    return (heads[row] << _LOW) | values.view(np.uint32).astype(np.uint64), row
+
+
+def _in_batches(nodes: DataFrame, batches: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (node, text) dealt to batches by their doc_id and text, so that copies are spread; and each batch's distinct shingles
+    with the number of rows that hold them, as lists by the highest bits of their hashes."""
+    spread = max(1, _HEADS // min(batches, _HEADS))
+
+    def count(table: pa.Table) -> pa.Table:
+        codes, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for batch in slices(table.to_batches()):
+            each, times = np.unique(_distinct(batch.column("text"))[1], return_counts=True)
+            codes.append(each)
+            n.append(times)
+        known, inverse = np.unique(np.concatenate(codes), return_inverse=True)
+        total = np.bincount(inverse, np.concatenate(n), len(known)).astype(np.int64)
+        heads, row = np.unique((known >> _LOW).astype(np.int32), return_inverse=True)
+        low = known.astype(np.uint32).view(np.int32)
+        batch = np.full(len(heads), table.column("batch")[0].as_py(), np.int64)
+        return pa.table({"part": heads // spread, "batch": batch, "head": heads, "low": _lists(low, row, len(heads)), "n": _lists(total, row, len(heads))})
+
+    batch = F.pmod(F.xxhash64("node", "doc_id", F.lit(BATCH_BYTES)), F.lit(batches).cast("long"))
+    dealt = nodes.select(batch.alias("batch"), "node", "text")
+    return dealt, dealt.groupBy("batch").applyInArrow(count, "part int, batch long, head int, low array<int>, n array<long>")
+
+
+def _size(nodes: DataFrame) -> tuple[int, int]:
+    """Number of rows, and of the batches that they make."""
+    total, size = nodes.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    return total, max(1, -(-(size or 0) // BATCH_BYTES), -(-total // BATCH_TEXTS))
+
+
+def _counted(nodes: DataFrame, batches: int) -> tuple[DataFrame, DataFrame]:
+    """Rows dealt to batches, and for each batch how many rows of the whole table hold its shingles, where that is more than 1.
+
+    Every row counts and no shingle is left out. Batches send their shingles, each once, to the part that its hash falls in; a
+    part sums the counts and sends them back to the batches that hold the shingle. One in all documents is an entry a batch."""
+
+    def add(table: pa.Table) -> pa.Table:
+        codes, row = _codes(table.column("head"), table.column("low"))
+        _, inverse = np.unique(codes, return_inverse=True)
+        total = np.bincount(inverse, _flat(table.column("n"))[0]).astype(np.int64)[inverse]
+        many = total > 1
+        low = codes[many].astype(np.uint32).view(np.int32)
+        lists = [_lists(v, row[many], table.num_rows) for v in (low, total[many])]
+        return pa.table({"batch": table.column("batch"), "head": table.column("head"), "low": lists[0], "n": lists[1]})
+
+    dealt, counts = _in_batches(nodes, batches)
+    return dealt, counts.groupBy("part").applyInArrow(add, "batch long, head int, low array<int>, n array<long>").filter(F.size("low") > 0)
+
+
+def weights(docs: DataFrame) -> Weights:
+    """The shingles in more than COMMON of the documents and their weights, to look at: by the same counts that _counted()
+    gives for every shingle."""
+    nodes = _nodes(docs)
+    total, batches = _size(nodes)
+    entries = _in_batches(nodes, batches)[1].select("head", F.inline(F.arrays_zip("low", "n")))
+    counts = entries.groupBy("head", "low").agg(F.sum("n").alias("n")).filter(F.col("n") > COMMON * total)
+    common = sorted(((r.head << 32) | (r.low & 0xFFFFFFFF), r.n) for r in counts.collect())
+    return Weights([c for c, _ in common], Weights([], [], total).by_documents(np.array([n for _, n in common], np.int64)).tolist())
 
 
 def weighted(texts: pa.Array, idf: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, 44-bit hash and weight of every distinct shingle of a text, row after row."""
-    codes, row = shingles(Words(texts))
-    keys, times = np.unique((row.astype(np.uint64) << _BITS) | (codes & _MASK), return_counts=True)
-    row, codes = (keys >> _BITS).astype(np.int64), keys & _MASK
+    row, codes, times = _distinct(texts)
     return row, codes, times * idf.of(codes)
 
 
@@ -159,21 +224,22 @@ def _drawn(n: int, row: np.ndarray, codes: np.ndarray, weight: np.ndarray) -> tu
         return out, total
     first = np.flatnonzero(np.diff(row, prepend=-1))
     owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
-    odd = np.flatnonzero(weight != 1)
-    log = np.log(weight[odd]).astype(np.float32)
+    # most shingles have the weight of one that occurs once, in one document: its values are looked up
+    kinds, times = np.unique(weight, return_counts=True)
+    usual = times.argmax()
+    odd = np.flatnonzero(weight != kinds[usual])
+    log = np.log(weight).astype(np.float32)
     spread = mix(codes)
     d = _DRAWN
+    plain = d.values(np.log(kinds).astype(np.float32)[usual])
     for k in range(SAMPLES):
         at = ((spread * d.odd[k]) >> _U(48)).astype(np.int64)
-        value = d.plain[at]
-        r, b = d.r[at[odd]], d.b[at[odd]]
-        level = np.floor(log / r + b)
-        value[odd] = d.c[at[odd]] - r * (level - b + 1)
+        value = plain[at]
+        value[odd] = d.values(log[odd], at[odd])
         lowest = np.flatnonzero(value == np.minimum.reduceat(value, first)[owner])
         lowest = lowest[np.flatnonzero(np.diff(owner[lowest], prepend=-1))]  # ties go to the smallest shingle
-        levels = np.zeros(len(row), np.int64)
-        levels[odd] = level.astype(np.int64)
-        out[row[lowest], k] = mix(spread[lowest] ^ (levels[lowest].astype(np.uint64) * _U(0x9E3779B97F4A7C15)) ^ _U(k + 1))
+        levels = d.levels(log[lowest], at[lowest]).astype(np.int64).astype(np.uint64)
+        out[row[lowest], k] = mix(spread[lowest] ^ (levels * _U(0x9E3779B97F4A7C15)) ^ _U(k + 1))
     return out, total
 
 
@@ -182,27 +248,55 @@ def _nodes(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("node"))
 
 
-def _signed(nodes: DataFrame, idf: Weights) -> DataFrame:
-    """node, bands (16 hashes, none without words), sketch (a byte of each sample), total weight, weight in each cell and its
-    unit; one row for a text."""
+def _signs(n: int, row: np.ndarray, codes: np.ndarray, weight: np.ndarray) -> dict[str, pa.Array]:
+    """The columns _SIGNS of n texts."""
+    samples, total = _drawn(n, row, codes, weight)
+    held, unit = cells(n, row, codes, weight)
+    bands = np.zeros((n, BANDS), np.uint64)
+    for i in range(ROWS):
+        bands = mix(bands ^ samples[:, i::ROWS]) + _U(i)
+    values = pa.array(bands.view(np.int64).ravel())
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.where(total > 0, BANDS, 0))]), pa.int32())
+    lists = pa.ListArray.from_arrays(ends, values.filter(pa.array(np.repeat(total > 0, BANDS))))
+    sketch = pa.array([s.tobytes() for s in samples.astype(np.uint8)], pa.binary())
+    parts = pa.array([h.tobytes() for h in held], pa.binary())
+    return dict(zip(_SIGNS, (lists, sketch, pa.array(total), parts, pa.array(unit)), strict=True))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            own = weighted(batch.column("text"), idf)
-            samples, total = _drawn(batch.num_rows, *own)
-            held, unit = cells(batch.num_rows, *own)
-            bands = np.zeros((len(samples), BANDS), np.uint64)
-            for i in range(ROWS):
-                bands = mix(bands ^ samples[:, i::ROWS]) + _U(i)
-            values = pa.array(bands.view(np.int64).ravel())
-            ends = pa.array(np.concatenate([[0], np.cumsum(np.where(total > 0, BANDS, 0))]), pa.int32())
-            lists = pa.ListArray.from_arrays(ends, values.filter(pa.array(np.repeat(total > 0, BANDS))))
-            sketch = pa.array([s.tobytes() for s in samples.astype(np.uint8)], pa.binary())
-            parts = pa.array([h.tobytes() for h in held], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), lists, sketch, pa.array(total), parts, pa.array(unit)], names=["node", *_SIGNS])
-
-    signed = nodes.select("node", "text").mapInArrow(run, "node long, bands array<long>, sketch binary, total double, cells binary, unit double")
-    return signed.groupBy("node").agg(*[F.first(c).alias(c) for c in _SIGNS])
+
+def _signed(nodes: DataFrame, idf: Weights, batches: int = 0) -> DataFrame:
+    """node, bands (16 hashes, none without words), sketch (a byte of each sample), total weight, weight in each cell and its
+    unit; one row for a text.
+
+    With a number of batches the documents of every shingle are counted, and a column documents holds them for the distinct
+    shingles of a text, in the order of their 44-bit hashes; without, weights are looked up in idf."""
+    kind = "node long, bands array<long>, sketch binary, total double, cells binary, unit double"
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(found):
+            signs = _signs(batch.num_rows, *weighted(batch.column("text"), idf))
+            yield pa.RecordBatch.from_pydict({"node": batch.column("node"), **signs})
+
+    def give(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        known = _codes(counts.column("head"), counts.column("low"))[0]
+        n = _flat(counts.column("n"))[0]
+        order = np.argsort(known)
+        # one more beyond the last, so that every search ends at an entry
+        known, n = np.append(known[order], _MASK + _U(1)), np.append(n[order], 1)
+        out = []
+        for batch in slices(texts.to_batches()):
+            row, codes, times = _distinct(batch.column("text"))
+            at = np.searchsorted(known, codes)
+            documents = np.where(known[at] == codes, n[at], 1).astype(np.int32)
+            signs = _signs(batch.num_rows, row, codes, times * idf.by_documents(documents))
+            out.append(pa.table({"node": batch.column("node"), **signs, "documents": _lists(documents, row, batch.num_rows)}))
+        return pa.concat_tables(out)
+
+    if not batches:
+        signed, more = nodes.select("node", "text").mapInArrow(run, kind), []
+    else:
+        dealt, counts = _counted(nodes, batches)
+        signed, more = dealt.groupBy("batch").cogroup(counts.groupBy("batch")).applyInArrow(give, f"{kind}, documents array<int>"), ["documents"]
+    return signed.groupBy("node").agg(*[F.first(c).alias(c) for c in (*_SIGNS, *more)])
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -212,12 +306,18 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(low / (a[1].sum() + b[1].sum() - low)) if len(shared) else 0.0
 
 
-def _sets(texts: pa.Array, idf: Weights) -> list[tuple[np.ndarray, np.ndarray]]:
+def _sets(texts: pa.Array, idf: Weights, documents: pa.ListArray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted distinct shingles of every text and their weights."""
     codes, row = shingles(Words(texts))
+    held = None
+    if documents is not None:
+        values, owner = _flat(documents)
+        held = np.split(idf.by_documents(values), np.searchsorted(owner, np.arange(1, len(texts))))
     out = []
-    for part in np.split(codes, np.searchsorted(row, np.arange(1, len(texts)))):
+    for i, part in enumerate(np.split(codes, np.searchsorted(row, np.arange(1, len(texts))))):
         own, times = np.unique(part, return_counts=True)
-        out.append((own, times * idf.of(own & _MASK)))
+        short = own & _MASK
+        out.append((own, times * (idf.of(short) if held is None else held[i][np.unique(short, return_inverse=True)[1]])))
     return out
 
 
@@ -230,13 +330,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Weights) -> DataFrame:
             new = np.flatnonzero(np.append(True, hubs[1:] != hubs[:-1]))
             for i in new.tolist():  # one text of a run of equal hubs
                 if hubs[i] not in seen:
-                    seen[hubs[i]] = _sets(batch.column("text_a").slice(i, 1), idf)[0]
-            good = [weighted_jaccard(seen[h], own) >= SIMILAR - 1e-9 for h, own in zip(hubs, _sets(batch.column("text_b"), idf), strict=True)]
+                    seen[hubs[i]] = _sets(batch.column("text_a").slice(i, 1), idf, batch.column("documents_a").slice(i, 1))[0]
+            others = _sets(batch.column("text_b"), idf, batch.column("documents_b"))
+            good = [weighted_jaccard(seen[h], own) >= SIMILAR - 1e-9 for h, own in zip(hubs, others, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    return pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    first, second = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"), F.col("documents").alias(f"documents_{x}")) for x in "ab")
+    return pairs.join(second, "b").join(first, "a").mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -264,10 +364,11 @@ def _blocks(members: DataFrame) -> DataFrame:
 
 
 def _exact(idf: Weights) -> Callable[[np.ndarray, pa.Array], Callable[[int, np.ndarray], np.ndarray]]:
-    """For the texts of a block: which others one of them is similar to, by the definition."""
+    """For the texts of a block, as strings or as structs of text and documents: which others one of them is similar to, by
+    the definition."""
 
     def prepare(nodes: np.ndarray, texts: pa.Array) -> Callable[[int, np.ndarray], np.ndarray]:
-        sets = _sets(texts, idf)
+        sets = _sets(texts.field("text"), idf, texts.field("documents")) if pa.types.is_struct(texts.type) else _sets(texts, idf)
         size = np.array([len(codes) for codes, _ in sets], np.int64)
         begin = np.concatenate([[0], np.cumsum(size)])
         known, place = np.unique(np.concatenate([codes for codes, _ in sets]), return_inverse=True)
@@ -342,18 +443,21 @@ def _across(buckets: DataFrame, texts: DataFrame, classes: DataFrame, some: Data
 
 def _classes(docs: DataFrame) -> DataFrame:
     """node, class_ of every text that is linked to another."""
-    idf = weights(docs)
     nodes = _nodes(docs)
-    texts = written(_signed(nodes, idf))
+    total, batches = _size(nodes)
+    idf = Weights([], [], total)
+    texts = written(_signed(nodes, idf, batches))
     banded = texts.select("node", "total", F.posexplode("bands").alias("band", "hash"))
     hubs = banded.groupBy("band", "hash").agg(F.count("*").alias("n"), F.min("node").alias("hub")).filter("n > 1").drop("n")
     buckets = written(banded.join(hubs, ["band", "hash"]))
     some = nodes.join(buckets.select("node").distinct(), "node").groupBy("node").agg(F.first("text").alias("text"))
-    some = written(some)
+    counts = [c for c in texts.columns if c == "documents"]
+    some = written(some.join(texts.select("node", *counts), "node"))
     # most texts of a bucket are linked to its first one, which leaves few classes to compare
     first = buckets.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = written(_verified(first, some, idf))
-    across = written(_across(buckets.drop("hub"), texts, components(links), some, _exact(idf)))
+    whole = some.select("node", F.struct("text", *counts).alias("text"))
+    across = written(_across(buckets.drop("hub"), texts, components(links), whole, _exact(idf)))
     return components(links.union(across))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: where intermediate tables go when the session names no folder (a single machine, as in tests)
 LOCAL_FOLDER = "/tmp/ledgermill-llm"
+#: Spark removes a job's shuffle files when it ends; otherwise they stay until the driver's memory is collected
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(frame: DataFrame, partitions: int | None = None) -> DataFrame:
     """The frame, written once to the folder of spark.checkpoint.dir and read from there: later steps neither repeat its
-    work nor lose it with an executor."""
+    work nor lose it with an executor. Its shuffle files are not needed any more and go."""
     spark = frame.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -25,7 +27,12 @@ def written(frame: DataFrame, partitions: int | None = None) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = LOCAL_FOLDER
     path = f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"
-    (frame if partitions is None else frame.coalesce(partitions)).write.parquet(path)
+    before = spark.conf.get(CLEANED, None)
+    spark.conf.set(CLEANED, "true")
+    try:
+        (frame if partitions is None else frame.coalesce(partitions)).write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANED) if before is None else spark.conf.set(CLEANED, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -1,6 +1,7 @@
 """Weighted sampling, near-duplicate classes, and the pipeline's stages."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,39 @@ def test_weights_of_common_shingles(spark, odd_rows):
     assert idf.of(codes)[0] == idf.weights[0]
 
 
+def test_every_shingle_weighs_by_its_documents(spark, odd_rows, monkeypatch):
+    """Counts of all shingles, the rare ones too, over all rows and however these are dealt; classes by these weights."""
+    monkeypatch.setattr(neardup, "BATCH_BYTES", 2000)
+    rng = random.Random(21)
+    rows = near_rows(3)
+    rows += [(1000 + i, rows[i % 3][1]) for i in range(9)] + [(2000, None), (2001, ""), (2002, "a b"), (2003, "a b")]
+    runs = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} or ({tuple(w)} if w else set()) for i, w in ((n, (t or "").split()) for n, (_, t) in enumerate(rows))}
+    held = Counter(r for own in runs.values() for r in own)
+    rng.shuffle(rows)
+    nodes = neardup._nodes(odd_rows(rows)).repartition(7)
+    total, batches = neardup._size(nodes)
+    assert total == len(rows) and batches > 50
+    texts = {r.node: r.text for r in nodes.collect()}
+    got = neardup._signed(nodes, neardup.Weights([], [], total), batches).collect()
+    assert sorted(r.node for r in got) == sorted(texts)
+    for r in got:
+        words = texts[r.node].split()
+        own = [words[j : j + 5] for j in range(len(words) - 4)] or ([words] if words else [])
+        code = lambda run: int(neardup.shingles(neardup.Words(pa.array([" ".join(run)])))[0][0] & neardup._MASK)
+        assert list(r.documents) == [n for _, n in sorted({code(run): held[tuple(run)] for run in own}.items())]
+    idf = {run: (1 + np.log(total / n)) / (1 + np.log(20)) for run, n in held.items()}
+    assert max(idf.values()) > 1.3  # a shingle of one document weighs more than one in 5 % of them
+    known = {}
+
+    def similar(a, b):
+        if (a, b) not in known:
+            known[a, b] = jaccard(a, b, idf)
+        return known[a, b] >= 0.8 - 1e-9
+
+    got = sorted((tuple(r) for r in neardup.classes(odd_rows(rows)).collect()), key=repr)
+    assert got == brute_classes(rows, similar)
+
+
 def test_verified_similarity_equals_its_definition():
     rng = random.Random(1)
     texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 40))) for _ in range(25)]
