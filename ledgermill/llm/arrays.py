@@ -6,6 +6,7 @@ A batch is taken in slices of a MB, so memory follows the slice (or one very lon
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,8 +101,16 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system. A worker lives on after its task, and would keep what large arrays have taken."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most `limit` bytes of text, or of one row."""
+    """The same rows in batches of at most `limit` bytes of text, or of one row. At their end freed memory is given back."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -114,6 +123,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             last = max(first + 1, int(np.searchsorted(at, at[first] + limit, "right")) - 1)
             yield batch.slice(first, last - first)
             first = last
+    give_back()
 
 
 class Words:

@@ -32,3 +32,29 @@ def test_a_reused_worker_stays_small():
     out = subprocess.run([sys.executable, "-c", PROGRAM], capture_output=True, text=True, check=True, timeout=300)
     kept, peak = map(int, out.stdout.split())
     assert kept < 260 and peak < 320
+
+
+KEPT = """
+import numpy as np, pyarrow as pa
+from ledgermill.llm import neardup
+from ledgermill.llm.arrays import slices
+
+rng = np.random.default_rng(2)
+words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 9))) for _ in range(60000)]
+batch = pa.RecordBatch.from_arrays([pa.array([" ".join(rng.choice(words, 900)) for _ in range(2500)])], names=["text"])
+size = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+peak = 0
+for part in slices(iter([batch])):
+    row, codes, times = neardup._distinct(part.column(0))
+    signs = neardup._signs(part.num_rows, row, codes, times * 1.5)
+    del row, codes, times, signs
+    peak = max(peak, size())
+print(peak, size())
+"""
+
+
+def test_a_worker_gives_memory_back():
+    """MB in the middle of a task's rows and behind them."""
+    out = subprocess.run([sys.executable, "-c", KEPT], capture_output=True, text=True, check=True, timeout=300)
+    peak, kept = map(int, out.stdout.split())
+    assert kept < peak - 50
