@@ -202,11 +202,22 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events")
 
 
-def events_stream(spark: SparkSession, folder: str, n_files: int) -> DataFrame:
-    """The events as a stream of files, each a micro-batch."""
+#: events in one file of a feed, about; what a task reads does not grow with the table
+FILE_ROWS = 100_000
+
+
+def files_per_batch(rows: int, batches: int) -> int:
+    """Files of FILE_ROWS at most that each of a number of micro-batches takes."""
+    return max(1, -(-rows // (batches * FILE_ROWS)))
+
+
+def events_stream(spark: SparkSession, folder: str, n_batches: int) -> DataFrame:
+    """The events as a stream of files, in a fixed number of micro-batches; each is as many files as its rows need."""
     path = scratch(spark, "event-files")
-    events(spark, folder).repartition(n_files).write.parquet(path)
-    return spark.readStream.schema(COLUMNS["events"]).option("maxFilesPerTrigger", 1).parquet(path)
+    rows = events(spark, folder)
+    each = files_per_batch(rows.count(), n_batches)
+    rows.repartition(n_batches * each).write.parquet(path)
+    return spark.readStream.schema(COLUMNS["events"]).option("maxFilesPerTrigger", each).parquet(path)
 
 
 def _records(events: DataFrame, steady: bool = False) -> DataFrame:
