@@ -620,7 +620,8 @@ def channel_offsets(spark, folder):
     """A producer that sends half, then its last 100 rows and the other half, then everything once more."""
     out = scratch(spark, "channel")
     lines = given.channel_lines(spark, folder)
-    middle = lines.agg(F.percentile_approx("event_id", 0.5)).scalar()
+    middle, n = lines.agg(F.percentile_approx("event_id", 0.5), F.count("*")).first()
+    each = given.files_per_batch(n, 2)
     sent = [
         lines.where(F.col("event_id") < middle),
         lines.where(F.col("event_id") >= middle - 100),
@@ -628,8 +629,8 @@ def channel_offsets(spark, folder):
     ]
     channel.create(spark, f"{out}/table")
     for part in sent:
-        part.select("value").repartition(2).write.mode("append").text(f"{out}/feed")
-        feed = payments.feed(spark, f"{out}/feed", files_per_batch=1)
+        part.select("value").repartition(2 * each).write.mode("append").text(f"{out}/feed")
+        feed = payments.feed(spark, f"{out}/feed", files_per_batch=each)
         channel.keep_channel(feed, f"{out}/table", f"{out}/checkpoint").awaitTermination()
     stored = channel.landed(spark, f"{out}/table")
     records = stored.groupBy("channel").agg(F.count("*").alias("records"), F.sum(env.Envelope().event_id()).alias("id_sum"))
