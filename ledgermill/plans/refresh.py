@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgermill.functions import money
 from ledgermill.operators import marts
+from ledgermill.session import remove, scratch
 from ledgermill.sources import versioned
 
 BUCKETS = 64
@@ -173,7 +174,10 @@ def refresh(changes: DataFrame, transactions: DataFrame, path: str, buckets: int
     it had finished is not applied twice.
     """
     spark = changes.sparkSession
-    images = signed(changes)
+    # every step below reads the changes, which may be a query of any size: they are worked out once
+    aside = scratch(spark, "refresh-images")
+    signed(changes).write.parquet(aside)
+    images = spark.read.parquet(aside)
     sums, spend = f"{path}/sums", f"{path}/spend"
     version = 1 + versioned.last_version(spark, spend)
     if versioned.last_version(spark, sums) < version:
@@ -197,6 +201,7 @@ def refresh(changes: DataFrame, transactions: DataFrame, path: str, buckets: int
     versioned.finish(spark, spend, version)
     for table, key in ((sums, "transaction_month"), (spend, "bucket")):
         versioned.tidy(spark, table, key)
+    remove(spark, aside)
     return version
 
 
