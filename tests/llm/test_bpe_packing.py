@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -134,3 +135,56 @@ def test_memos_are_bounded_in_bytes(monkeypatch, kind):
         young, old = memo.bytes_of(memo), memo.bytes_of(memo.old)
         assert young <= memo.held and young + old <= limit
         assert kind == "words" or max(map(len, memo), default=0) <= memo.LONGEST
+
+
+class Counting:
+    """The library's tokenizer, counting the texts that it is handed."""
+
+    def __init__(self, own):
+        self.own, self.calls, self.texts = own, 0, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.calls += 1
+        self.texts += len(texts)
+        return self.own.encode_batch_fast(texts, **how)
+
+
+def test_a_slice_is_encoded_at_once():
+    """The library is asked for the words of a slice together, not once for each text that has a new word."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh"), 6)) + end for end in (",", "", ".")) + " the end." for _ in range(300)]
+    own = packing.Encoder(WORDS)
+    own.tokenizer = Counting(own.tokenizer)
+    assert list(own.encode_all(pa.array(texts))) == [ids_of(WORD_LIBRARY, t) for t in texts]
+    assert own.tokenizer.calls <= 3 and own.tokenizer.texts <= 900 / packing.JOINED + 5
+    assert list(own.encode_all(pa.array(texts[::-1]))) == [ids_of(WORD_LIBRARY, t) for t in texts[::-1]]
+    assert own.tokenizer.calls <= 3
+
+
+MIXED = [*ODD, None, "ÀÉ×÷ß ÿ, Ÿ' J\u030c J\u030c, \u212a \u0130I", "a\u00a0b\u3000c d\u2028e", "don't I'LL s's 's' 12a, a12 a,b <|endoftext|>, the<|endoftext|>", "\x1cthe\x1f the, \x0b\x0c", "THE The the the. the.) \u200bthe \u0301the e\u0301,"]
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_odd_texts_of_one_slice(kind):
+    own = packing.Encoder(WORDS)
+    whole = pa.array(MIXED * 2, kind)
+    for texts in (whole, whole.slice(3, 11), whole.slice(2, 0), pa.array([None, ""], kind)):
+        assert list(own.encode_all(texts)) == [ids_of(WORD_LIBRARY, t or "") for t in texts.to_pylist()]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40), st.text(alphabet="aBtéÀ \u0301\u00a0\n.,'1Σ", max_size=40)), max_size=6))
+def test_same_ids_as_the_library_over_a_slice(texts):
+    assert list(packing.encoder(WORDS).encode_all(pa.array(texts, pa.string()))) == [ids_of(WORD_LIBRARY, t or "") for t in texts]
+
+
+def test_every_white_space_as_the_library_has_it():
+    blanks = [chr(c) for c in range(0x11000) if chr(c).isspace()] + list("\u180e\u200b\u200d\u2060\ufeff")
+    texts = [f"the{c}end, {c}{c}A{c}'s{c}" for c in blanks]
+    own = packing.Encoder(WORDS)
+    want = [ids_of(WORD_LIBRARY, t) for t in texts]
+    assert list(own.encode_all(pa.array(texts))) == want
+    assert [own.encode(t) for t in texts] == want
+    own.tokenizer = Counting(own.tokenizer)
+    assert own.encode("end\u00a0the\u3000the, end.") == ids_of(WORD_LIBRARY, "end the the, end.")
+    assert own.tokenizer.calls <= 2
